@@ -1,0 +1,30 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from layerforge.session import local_session  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = local_session(
+        4,
+        "tests",
+        **{
+            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        },
+    )
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    folder = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+    if not os.path.isdir(folder):
+        pytest.skip("benchmark tables are not here")
+    return folder
