@@ -37,7 +37,7 @@ def latest_per_key(
     order_by: Sequence[Column],
     *,
     null_keys: str = "drop",
-    total_order: bool = True,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """The first row of every key under `order_by`.
 
@@ -45,6 +45,10 @@ def latest_per_key(
     exchange: a task ships at most one row per key, so a key that holds a third
     of the table costs its reducer no more than one row per map task.
 
+    `ties` are the columns that make the order total, largest first: name the
+    ones that identify a version, so that the shuffle carries nothing else that
+    the result does not need. Without it every column breaks ties.
+
     `null_keys="drop"` leaves rows without a key to the quarantine (see
     `operators.quality.without_key`), `"keep"` passes each of them through as
     its own group, so that they neither collapse into one row nor meet in one
@@ -53,7 +57,7 @@ def latest_per_key(
     keys = [keys] if isinstance(keys, str) else list(keys)
     missing = reduce(or_, [F.col(k).isNull() for k in keys])
 
-    order = list(order_by) + (tie_break(df, but=keys) if total_order else [])
+    order = [*order_by, *(tie_break(df, but=keys) if ties is None else newest_first(*ties))]
     partition = list(keys)
     if null_keys == "drop":
         source = df.where(~missing)

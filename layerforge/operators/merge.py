@@ -19,6 +19,7 @@ def upsert(
     updates: DataFrame,
     key: str,
     order_by: Sequence[Column] | None = None,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """SCD1 merge: rows of `updates` replace rows of `target` with the same key.
 
@@ -27,6 +28,6 @@ def upsert(
     are few the optimizer broadcasts them and the target is not shuffled.
     """
     if order_by is not None:
-        updates = latest_per_key(updates, key, order_by, null_keys="drop")
+        updates = latest_per_key(updates, key, order_by, ties=ties)
     kept = target.join(updates.select(key), key, "left_anti")
     return evolved_union(kept, updates)

@@ -47,6 +47,10 @@ def quarantined(df: DataFrame) -> DataFrame:
     return df.where(_flagged())
 
 
+def with_key(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(key).isNotNull())
+
+
 def without_key(df: DataFrame, key: str) -> DataFrame:
     """Rows that no key identifies: they go to the quarantine before duplicates are removed."""
     return df.where(F.col(key).isNull())

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerforge.operators import contracts as rules
+from layerforge.operators import quality
 from layerforge.plans import bronze as bronze_plan
 from layerforge.plans import gold, silver
 from layerforge.sources import landing, sinks
@@ -96,34 +97,29 @@ def to_silver(spark: SparkSession, lake: Lake, entity: str, as_of: datetime) ->
     """
     sinks.create_namespace(spark, lake.silver)
     source = spark.table(f"{lake.bronze}.{entity}")
+    # Bronze holds one row per id and batch, so the batch tells versions apart.
+    ties = ("batch_id",)
     if entity == "products":
-        check, latest = (
-            lambda b: silver.products_checked(b, as_of, lake.taxonomy, lake.id_type),
-            silver.products_latest,
+        taxonomy, id_type = lake.taxonomy, lake.id_type
+        latest = silver.products(source, as_of, taxonomy, id_type, ties)
+        keyless = silver.products_checked(
+            quality.without_key(source, "id"), as_of, taxonomy, id_type
         )
     else:
-        check, latest = lambda b: silver.users_checked(b, as_of), silver.users_latest
+        latest = silver.users(source, as_of, ties)
+        keyless = silver.users_checked(quality.without_key(source, "id"), as_of)
 
     day = as_of.date().isoformat()
-    table = _slice_table(
-        spark,
-        latest(check(source)),
-        f"{lake.silver}.{entity}",
-        lake.path("silver", entity),
-        "snapshot",
-        day,
-        lake.fmt,
-    )
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        path = lake.path("silver", name)
+        return _slice_table(
+            spark, df, f"{lake.silver}.{name}", path, "snapshot", day, lake.fmt
+        )
+
+    table = write(latest, entity)
     snapshot = table.where(F.col("snapshot") == day).drop("snapshot")
-    _slice_table(
-        spark,
-        silver.quarantine(check(source.where(F.col("id").isNull())), snapshot),
-        f"{lake.silver}.{entity}_quarantine",
-        lake.path("silver", f"{entity}_quarantine"),
-        "snapshot",
-        day,
-        lake.fmt,
-    )
+    write(silver.quarantine(snapshot, keyless), f"{entity}_quarantine")
     sinks.view(table, f"silver_{entity}")
     return table
 

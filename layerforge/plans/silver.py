@@ -1,13 +1,15 @@
 """SILVER: flattened, normalised, quality-flagged rows, the latest one per id.
 
-`*_checked` has a row for every input row and moves no data; `*_latest` adds the
-one shuffle by id. Rows without an id are only in `*_checked`: they cannot be
-versioned and belong to the quarantine.
+`*_checked` has a row for every input row and moves no data. `products` and
+`users` first take the latest bronze row of every id, the only shuffle, and then
+check what is left: cleaning is row by row, so the result is the same as cleaning
+first, while derived columns are neither shuffled nor computed for old versions.
+Rows without an id cannot be versioned; they belong to the quarantine.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,15 @@ CATEGORIES = {
 }
 
 
+def latest_versions(bronze: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
+    """Newest row per id, rows without a timestamp last.
+
+    All rows of one run share `processed_at`, so it does not take part. `ties` are
+    the columns that tell versions with equal timestamps apart.
+    """
+    return latest_per_key(bronze, "id", newest_first("ingestion_ts"), ties=ties)
+
+
 # ------------------------------------------------------------------ products
 
 
@@ -90,8 +101,16 @@ def products_checked(
     )
 
 
-def products_latest(checked: DataFrame) -> DataFrame:
-    return latest_per_key(checked, "id", newest_first("ingestion_ts", "processed_at"))
+def products(
+    bronze: DataFrame,
+    as_of: AsOf = None,
+    taxonomy: Mapping[str, str] | DataFrame = CATEGORIES,
+    id_type: str = "int",
+    ties: Sequence[str] | None = None,
+) -> DataFrame:
+    """The latest version of every product, cleaned and flagged."""
+    checked = products_checked(latest_versions(bronze, ties), as_of, taxonomy, id_type)
+    return quality.with_key(checked, "id")
 
 
 # --------------------------------------------------------------------- users
@@ -147,13 +166,16 @@ def users_checked(bronze: DataFrame, as_of: AsOf = None) -> DataFrame:
     return quality.with_issues(flagged, user_rules())
 
 
-def users_latest(checked: DataFrame) -> DataFrame:
-    return latest_per_key(checked, "id", newest_first("ingestion_ts", "processed_at"))
+def users(
+    bronze: DataFrame, as_of: AsOf = None, ties: Sequence[str] | None = None
+) -> DataFrame:
+    """The latest version of every user, cleaned and flagged."""
+    return users_checked(latest_versions(bronze, ties), as_of)
 
 
 # ---------------------------------------------------------------- quarantine
 
 
-def quarantine(checked: DataFrame, latest: DataFrame) -> DataFrame:
-    """Latest rows with an issue, and every row that has no id."""
-    return quality.quarantined(latest).unionByName(quality.without_key(checked, "id"))
+def quarantine(latest: DataFrame, keyless: DataFrame) -> DataFrame:
+    """Latest rows with an issue, and every checked row that has no id."""
+    return quality.quarantined(latest).unionByName(quality.without_key(keyless, "id"))

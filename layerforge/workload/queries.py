@@ -23,6 +23,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 CHUNK_ROWS = 50
 
 
+# A version number tells rows of one id apart when their timestamps do not.
+TIES = ("version",)
+
+
 def _products_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.products_checked(
         roles.products(spark, sf_dir), roles.as_of(), roles.TAXONOMY, id_type="bigint"
@@ -30,7 +34,14 @@ def _products_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.products_latest(_products_checked(spark, sf_dir))
+    return silver.products(
+        roles.products(spark, sf_dir), roles.as_of(), roles.TAXONOMY, "bigint", TIES
+    )
+
+
+def _categories(products: DataFrame) -> DataFrame:
+    """The taxonomy is a literal map, so there are at most its values and `unknown`."""
+    return F.broadcast(gold.dim_category(products, roles.as_of()))
 
 
 def _users_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,7 +49,7 @@ def _users_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.users_latest(_users_checked(spark, sf_dir))
+    return silver.users(roles.users(spark, sf_dir), roles.as_of(), TIES)
 
 
 def _issues_as_text(df: DataFrame) -> DataFrame:
@@ -55,13 +66,13 @@ def silver_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quarantine_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _issues_as_text(
-        silver.quarantine(_products_checked(spark, sf_dir), _products(spark, sf_dir))
+        silver.quarantine(_products(spark, sf_dir), _products_checked(spark, sf_dir))
     )
 
 
 def quarantine_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _issues_as_text(
-        silver.quarantine(_users_checked(spark, sf_dir), _users(spark, sf_dir))
+        silver.quarantine(_users(spark, sf_dir), _users_checked(spark, sf_dir))
     )
 
 
@@ -132,7 +143,7 @@ def phone_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = roles.table(spark, sf_dir, "events")
-    return latest_per_key(events, "user_id", newest_first("ts"))
+    return latest_per_key(events, "user_id", newest_first("ts"), ties=("event_id",))
 
 
 def dim_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +153,7 @@ def dim_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = _products(spark, sf_dir)
     return gold.dim_product(
-        products, gold.dim_category(products, roles.as_of()), roles.as_of(), unique=True
+        products, _categories(products), roles.as_of(), unique=True
     )
 
 
@@ -202,7 +213,7 @@ def latest_dt_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     products = _products(spark, sf_dir)
-    categories = gold.dim_category(products, roles.as_of())
+    categories = _categories(products)
     return gold.product_catalog(
         gold.dim_product(products, categories, roles.as_of(), unique=True),
         categories,
@@ -255,7 +266,7 @@ def upsert_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ingestion_ts", "version",
     )
     return merge.upsert(
-        flat.where("version = 1"), flat.where("version > 1"), "id", newest_first("ingestion_ts")
+        flat.where("version = 1"), flat.where("version > 1"), "id", newest_first("ingestion_ts"), TIES
     )
 
 

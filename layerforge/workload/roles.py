@@ -30,119 +30,83 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _every(key: str, n: int) -> Column:
-    return F.col(key) % n == 0
-
-
-def _version_time() -> Column:
-    return F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(version)")
+_VERSION_TIME = "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval(version)"
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bronze products: one to three versions of every part."""
-    k = "p_partkey"
-    versions = table(spark, sf_dir, "part").withColumn(
-        "version", F.explode(F.sequence(F.lit(1), (1 + F.col(k) % 3).cast("int")))
+    """Bronze products: one to three versions of every part.
+
+    The third version of some parts has no timestamp and must lose to the others.
+    """
+    versions = table(spark, sf_dir, "part").selectExpr(
+        "*", "p_partkey AS k", "explode(sequence(1, int(1 + p_partkey % 3))) AS version"
     )
-    return versions.select(
-        F.when(~_every(k, 101), F.col(k)).alias("id"),
-        F.when(_every(k, 97), "").otherwise(F.concat(F.lit("  "), "p_name", F.lit(" "))).alias(
-            "title"
-        ),
-        F.when(_every(k, 50), -F.col("p_retailprice"))
-        .otherwise(F.col("p_retailprice") + F.col("version") * 1.003)
-        .alias("price"),
-        F.when(~_every(k, 37), F.concat(F.lit(" made by "), "p_brand")).alias("description"),
-        F.when(~_every(k, 41), F.concat(F.lit(" "), "p_type", F.lit(" "))).alias("category"),
-        F.when(_every(k, 43), None)
-        .otherwise(
-            F.concat(
-                F.when(_every(k, 11), "ftp").otherwise("https"),
-                F.lit("://img.example.com/"),
-                F.col(k).cast("string"),
-            )
-        )
-        .alias("image"),
-        F.struct(
-            (F.col("p_size") / 8.0).cast("double").alias("rate"),
-            (F.col("p_size") - 3).alias("count"),
-        ).alias("rating"),
-        # The third version of some parts has no timestamp and must lose to the others.
-        F.when(~((F.col("version") == 3) & _every(k, 4)), _version_time()).alias("ingestion_ts"),
+    return versions.selectExpr(
+        "CASE WHEN k % 101 <> 0 THEN k END AS id",
+        "CASE WHEN k % 97 = 0 THEN '' ELSE concat('  ', p_name, ' ') END AS title",
+        "CASE WHEN k % 50 = 0 THEN -p_retailprice ELSE p_retailprice + version * 1.003D END AS price",
+        "CASE WHEN k % 37 <> 0 THEN concat(' made by ', p_brand) END AS description",
+        "CASE WHEN k % 41 <> 0 THEN concat(' ', p_type, ' ') END AS category",
+        "CASE WHEN k % 43 <> 0 THEN concat(CASE WHEN k % 11 = 0 THEN 'ftp' ELSE 'https' END,"
+        " '://img.example.com/', string(k)) END AS image",
+        "named_struct('rate', p_size / 8.0D, 'count', p_size - 3) AS rating",
+        f"CASE WHEN NOT (version = 3 AND k % 4 = 0) THEN {_VERSION_TIME} END AS ingestion_ts",
         "version",
     )
 
 
+def _degrees(divisor: int) -> str:
+    value = f"string(CAST(c_acctbal / {divisor} AS decimal(12,4)))"
+    return f"CASE WHEN k % 23 = 0 THEN 'n/a' ELSE concat(' ', {value}, ' ') END"
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze users: one or two versions of every customer."""
-    k = "c_custkey"
     versions = (
         table(spark, sf_dir, "customer")
         .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .withColumn("version", F.explode(F.sequence(F.lit(1), (1 + F.col(k) % 2).cast("int"))))
-    )
-    short = (F.col(k) % 997).cast("string")
-
-    def degrees(divisor: int) -> Column:
-        value = (F.col("c_acctbal") / divisor).cast("decimal(12,4)").cast("string")
-        return F.when(_every(k, 23), "n/a").otherwise(F.concat(F.lit(" "), value, F.lit(" ")))
-
-    return versions.select(
-        F.when(~_every(k, 103), F.col(k)).alias("id"),
-        F.when(_every(k, 29), None)
-        .otherwise(
-            F.concat(
-                F.lit(" "),
-                F.when(_every(k, 13), F.col("c_name")).otherwise(
-                    F.replace("c_name", F.lit("#"), F.lit("."))
-                ),
-                F.lit("@Mail.Example.COM "),
-            )
+        .selectExpr(
+            "*",
+            "c_custkey AS k",
+            "string(c_custkey % 997) AS short",
+            "explode(sequence(1, int(1 + c_custkey % 2))) AS version",
         )
-        .alias("email"),
-        F.when(_every(k, 31), "")
-        .when(~_every(k, 37), F.concat(F.lit(" "), "c_name", F.lit(" ")))
-        .alias("username"),
-        F.concat(F.lit("pw"), F.col(k).cast("string")).alias("password"),
-        F.concat(
-            F.lit(" +1.570-"), F.lpad(short, 3, "0"), F.lit("x7033 (ab)"), F.col("version").cast("string")
-        ).alias("phone"),
-        F.col("version").alias("__v"),
-        F.struct(
-            F.when(
-                ~_every(k, 17), F.concat(F.lit(" "), F.lower("c_mktsegment"), F.lit(" "))
-            ).alias("firstname"),
-            F.concat(F.lit("mc "), "c_name").alias("lastname"),
-        ).alias("name"),
-        F.struct(
-            F.when(~_every(k, 47), F.concat(F.lit("  port "), "n_name", F.lit(" "))).alias("city"),
-            F.concat(F.lit(" "), "c_mktsegment", F.lit("   high \t st ")).alias("street"),
-            F.when(~_every(k, 53), (F.col(k) % 500).cast("int")).alias("number"),
-            F.when(_every(k, 19), None)
-            .when(_every(k, 7), F.lpad(short, 4, "0"))
-            .when(_every(k, 5), F.concat(F.lpad(short, 5, "0"), F.lit("-1234 ")))
-            .otherwise(F.lpad(short, 5, "0"))
-            .alias("zipcode"),
-            F.struct(degrees(50).alias("lat"), degrees(25).alias("long")).alias("geolocation"),
-        ).alias("address"),
-        F.lit("customer").alias("file_origin"),
-        _version_time().alias("ingestion_ts"),
+    )
+    return versions.selectExpr(
+        "CASE WHEN k % 103 <> 0 THEN k END AS id",
+        "CASE WHEN k % 29 <> 0 THEN concat(' ', CASE WHEN k % 13 = 0 THEN c_name"
+        " ELSE replace(c_name, '#', '.') END, '@Mail.Example.COM ') END AS email",
+        "CASE WHEN k % 31 = 0 THEN '' WHEN k % 37 <> 0 THEN concat(' ', c_name, ' ') END AS username",
+        "concat('pw', string(k)) AS password",
+        "concat(' +1.570-', lpad(short, 3, '0'), 'x7033 (ab)', string(version)) AS phone",
+        "version AS __v",
+        "named_struct("
+        "'firstname', CASE WHEN k % 17 <> 0 THEN concat(' ', lower(c_mktsegment), ' ') END,"
+        "'lastname', concat('mc ', c_name)) AS name",
+        "named_struct("
+        "'city', CASE WHEN k % 47 <> 0 THEN concat('  port ', n_name, ' ') END,"
+        "'street', concat(' ', c_mktsegment, '   high ', char(9), ' st '),"
+        "'number', CASE WHEN k % 53 <> 0 THEN int(k % 500) END,"
+        "'zipcode', CASE WHEN k % 19 = 0 THEN NULL WHEN k % 7 = 0 THEN lpad(short, 4, '0')"
+        " WHEN k % 5 = 0 THEN concat(lpad(short, 5, '0'), '-1234 ') ELSE lpad(short, 5, '0') END,"
+        f"'geolocation', named_struct('lat', {_degrees(50)}, 'long', {_degrees(25)})) AS address",
+        "'customer' AS file_origin",
+        f"{_VERSION_TIME} AS ingestion_ts",
         "version",
     )
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily ratings of products: every line item, several per product and day."""
-    even = F.col("l_linenumber") % 2 == 0
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_partkey").alias("id"),
-        F.when(even, F.col("l_shipdate")).alias("processed_at"),
-        F.col("l_shipdate").alias("ingestion_ts"),
-        F.col("l_orderkey").alias("order_no"),
-        F.col("l_linenumber").alias("line_no"),
-        F.col("l_extendedprice").alias("price"),
-        F.when(F.col("l_linenumber") != 7, F.col("l_discount") * 50).alias("rating_rate"),
-        F.when(F.col("l_tax") > 0, F.col("l_quantity").cast("int")).alias("rating_count"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_partkey AS id",
+        "CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate END AS processed_at",
+        "l_shipdate AS ingestion_ts",
+        "l_orderkey AS order_no",
+        "l_linenumber AS line_no",
+        "l_extendedprice AS price",
+        "CASE WHEN l_linenumber <> 7 THEN l_discount * 50 END AS rating_rate",
+        "CASE WHEN l_tax > 0 THEN int(l_quantity) END AS rating_count",
     )
 
 
@@ -152,11 +116,8 @@ RATING_ORDER = ("order_no", "line_no")
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines of two files per event type; every 29th line is cut short."""
-    props = F.col("props")
-    cut = F.substring(props, F.lit(1), F.length(props) - 1)
-    return table(spark, sf_dir, "events").select(
-        F.when(_every("event_id", 29), cut).otherwise(props).alias("value"),
-        F.concat_ws("-", "event_type", (F.col("event_id") % 2).cast("string")).alias(
-            "file_origin"
-        ),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CASE WHEN event_id % 29 = 0 THEN substring(props, 1, length(props) - 1)"
+        " ELSE props END AS value",
+        "concat_ws('-', event_type, string(event_id % 2)) AS file_origin",
     )
