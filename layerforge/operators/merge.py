@@ -24,10 +24,11 @@ def upsert(
     """SCD1 merge: rows of `updates` replace rows of `target` with the same key.
 
     With `order_by`, several updates of one key are reduced to the first under
-    that order. The anti join reads only the key of `updates`; when those keys
-    are few the optimizer broadcasts them and the target is not shuffled.
+    that order. The anti join reads only the key of `updates`, before they are
+    reduced; when those keys are few the optimizer broadcasts them and the
+    target is not shuffled.
     """
+    kept = target.join(updates.select(key), key, "left_anti")
     if order_by is not None:
         updates = latest_per_key(updates, key, order_by, ties=ties)
-    kept = target.join(updates.select(key), key, "left_anti")
     return evolved_union(kept, updates)
