@@ -43,14 +43,29 @@ def write_raw(
     return True
 
 
-def file_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """`file_origin, n_bytes` of every raw file; the contents are not read."""
+def _below(spark: SparkSession, fmt: str, path: str) -> DataFrame:
     return (
-        spark.read.format("binaryFile")
+        spark.read.format(fmt)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", RAW_FILES)
         .load(path)
-        .select(F.col("path").alias("file_origin"), F.col("length").alias("n_bytes"))
+    )
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """`file_origin, n_bytes` of every raw file; the contents are not read.
+
+    A scan leaves out files of zero length, so the names come from the listing
+    that Spark's file index holds already.
+    """
+    files = _below(spark, "binaryFile", path)
+    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "file string").select(
+        # The listing writes local paths as file:///, scans write file:/.
+        F.regexp_replace("file", "^file:/+", "file:/").alias("file_origin")
+    )
+    sized = files.select(F.col("_metadata.file_path").alias("file_origin"), "length")
+    return listed.join(sized, "file_origin", "left").select(
+        "file_origin", F.coalesce("length", F.lit(0)).alias("n_bytes")
     )
 
 
@@ -69,11 +84,8 @@ def line_report(lines: DataFrame, by: str = "file_origin") -> DataFrame:
 
 def bad_files(spark: SparkSession, path: str) -> DataFrame:
     """`file_origin, reason` of files that are empty or hold a line that is not JSON."""
-    lines = (
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", RAW_FILES)
-        .text(path)
-        .select("value", F.col("_metadata.file_path").alias("file_origin"))
+    lines = _below(spark, "text", path).select(
+        "value", F.col("_metadata.file_path").alias("file_origin")
     )
     invalid = line_report(lines).where("n_bad > 0").select(
         "file_origin", F.lit("invalid JSON").alias("reason")
