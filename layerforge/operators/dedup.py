@@ -52,7 +52,8 @@ def latest_per_key(
     `null_keys="drop"` leaves rows without a key to the quarantine (see
     `operators.quality.without_key`), `"keep"` passes each of them through as
     its own group, so that they neither collapse into one row nor meet in one
-    task.
+    task. Use it on a scan, whose rows come in the same order when a lost task
+    is run again.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     missing = reduce(or_, [F.col(k).isNull() for k in keys])

@@ -6,12 +6,14 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from layerforge.functions.audit import audit_time
 from layerforge.operators import contracts as rules
 from layerforge.operators import quality
+from layerforge.operators.merge import upsert
 from layerforge.plans import bronze as bronze_plan
 from layerforge.plans import gold, silver
 from layerforge.sources import landing, sinks
@@ -89,14 +91,46 @@ def to_bronze(
     )
 
 
-def to_silver(spark: SparkSession, lake: Lake, entity: str, as_of: datetime) -> DataFrame:
+def _carried(
+    spark: SparkSession, table: str, day: str, as_of: datetime, rows: Column
+) -> DataFrame | None:
+    """Rows of the last snapshot before `day`, restamped; None when there is none."""
+    if not spark.catalog.tableExists(table):
+        return None
+    earlier = spark.table(table).where(F.col("snapshot") < day)
+    last = earlier.agg(F.max("snapshot")).first()[0]
+    if last is None:
+        return None
+    return (
+        earlier.where((F.col("snapshot") == last) & rows)
+        .drop("snapshot")
+        .withColumn("processed_at", audit_time(as_of))
+    )
+
+
+def to_silver(
+    spark: SparkSession, lake: Lake, entity: str, as_of: datetime, batch_id: str | None = None
+) -> DataFrame:
     """SILVER: one snapshot per day, the latest row of every id, and its quarantine.
 
+    Without `batch_id` all of bronze is read. With it, only that batch is cleaned
+    and merged into the snapshot before (SCD1), so the cost of a day follows the
+    size of its batch and of one snapshot, not the length of the history.
+
     The quarantine is read from the snapshot just written and from the bronze
     rows without an id, both as pushed filters, so rows are cleaned only once.
     """
     sinks.create_namespace(spark, lake.silver)
+    day = as_of.date().isoformat()
+    name, held = f"{lake.silver}.{entity}", f"{lake.silver}.{entity}_quarantine"
     source = spark.table(f"{lake.bronze}.{entity}")
+    before = keyless_before = None
+    if batch_id is not None:
+        before = _carried(spark, name, day, as_of, F.lit(True))
+        keyless_before = _carried(spark, held, day, as_of, F.col("id").isNull())
+    if before is not None:
+        source = source.where(F.col("batch_id") == batch_id)
+
     # Bronze holds one row per id and batch, so the batch tells versions apart.
     ties = ("batch_id",)
     if entity == "products":
@@ -108,13 +142,15 @@ def to_silver(spark: SparkSession, lake: Lake, entity: str, as_of: datetime) ->
     else:
         latest = silver.users(source, as_of, ties)
         keyless = silver.users_checked(quality.without_key(source, "id"), as_of)
+    if before is not None:
+        latest = upsert(before, latest, "id")
+    if before is not None and keyless_before is not None:
+        keyless = keyless_before.unionByName(keyless)
 
-    day = as_of.date().isoformat()
-
-    def write(df: DataFrame, name: str) -> DataFrame:
-        path = lake.path("silver", name)
+    def write(df: DataFrame, table: str) -> DataFrame:
+        path = lake.path("silver", table)
         return _slice_table(
-            spark, df, f"{lake.silver}.{name}", path, "snapshot", day, lake.fmt
+            spark, df, f"{lake.silver}.{table}", path, "snapshot", day, lake.fmt
         )
 
     table = write(latest, entity)
@@ -178,8 +214,13 @@ def to_gold(spark: SparkSession, lake: Lake, as_of: datetime) -> dict[str, DataF
     )
     out["fact_product_metrics_daily"] = publish(
         "fact_product_metrics_daily",
+        # A snapshot has one row per product and is one day of the fact.
         gold.fact_product_metrics_daily(
-            spark.table(f"{lake.silver}.products"), keys=lake.keys, keep_id=True
+            spark.table(f"{lake.silver}.products"),
+            keys=lake.keys,
+            keep_id=True,
+            day=F.to_date("snapshot"),
+            closed=True,
         ),
         fact_check,
         ("dt",),

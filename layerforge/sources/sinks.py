@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import Any
@@ -47,6 +48,8 @@ def replace_slice(
     An append that can be repeated: writing the same batch again leaves one copy.
     `column` becomes a partition column; `df` must not read the slice it replaces.
     """
+    if not re.fullmatch(r"[\w.\-]+", value):
+        raise ValueError(f"{value!r} is not a plain partition value")
     overwrite(df.drop(column), f"{path.rstrip('/')}/{column}={value}", fmt, partition_by)
 
 
@@ -81,9 +84,10 @@ def register(
     keep their declared type.
     """
     parts = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
+    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({_columns_ddl(schema)}) "
-        f"USING {fmt} {parts} LOCATION '{path}'"
+        f"USING {fmt} {parts} LOCATION '{quoted}'"
     )
     add_columns(spark, table, schema)
     refresh(spark, table, partitioned=bool(partition_by))

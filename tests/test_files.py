@@ -239,14 +239,14 @@ def snapshot(spark, lake):
     return out
 
 
-def run_day(spark, lake, day, products, users):
+def run_day(spark, lake, day, products, users, incremental=False, gold=True):
     as_of = datetime.datetime.combine(day, datetime.time(6))
     for entity, records in (("products", products), ("users", users)):
         items = scans.records_frame(spark, entity, records)
         raw = runs.land(items, lake, entity, day, f"b{day:%d}")
         runs.to_bronze(spark, lake, entity, raw, f"b{day:%d}", as_of)
-        runs.to_silver(spark, lake, entity, as_of)
-    return runs.to_gold(spark, lake, as_of)
+        runs.to_silver(spark, lake, entity, as_of, f"b{day:%d}" if incremental else None)
+    return runs.to_gold(spark, lake, as_of) if gold else {}
 
 
 def test_raw_to_gold_twice_and_the_next_day(spark, tmp_path):
@@ -281,3 +281,27 @@ def test_raw_to_gold_twice_and_the_next_day(spark, tmp_path):
     directory = spark.table("lg.user_directory").collect()
     assert {(r["id"], r["username"]) for r in directory} == {(1, "other"), (2, "ann")}
     assert runs.land(scans.records_frame(spark, "users", []), lake, "users", second, "x") is None
+
+
+def test_incremental_silver_equals_the_full_one(spark, tmp_path):
+    days = [
+        ([product(1), product(2, price=-1), product(None)], [user(1), user(None)]),
+        ([product(1, title="new"), product(3), product(None, price=-2)], [user(2, email="x")]),
+        ([product(2), product(4, category="toys")], [user(1, username="")]),
+    ]
+    tables = []
+    for mode in (False, True):
+        tag = "i" if mode else "f"
+        lake = runs.Lake(str(tmp_path / tag), bronze=f"{tag}b", silver=f"{tag}s", gold=f"{tag}g")
+        for n, (products, users) in enumerate(days, start=1):
+            # The third day runs twice: it must not build on itself.
+            for again in range(2 if n == 3 else 1):
+                day = datetime.date(2024, 1, n)
+                run_day(spark, lake, day, products, users, mode, gold=bool(again))
+        tables.append({k[1:]: v for k, v in snapshot(spark, lake).items()})
+    assert tables[0] == tables[1]
+
+
+def test_slice_values_must_be_plain(spark, tmp_path):
+    with pytest.raises(ValueError):
+        sinks.replace_slice(spark.range(1), str(tmp_path), "b", "../x")
