@@ -29,28 +29,19 @@ def global_mean(df: DataFrame, column: str) -> DataFrame:
 
 
 def daily_grain(
-    df: DataFrame,
-    key: str,
-    day: str,
-    *,
-    total: str,
-    closing: Sequence[str],
-    order_by: Sequence[str] = (),
+    df: DataFrame, key: str, day: str, *, total: str, closing: Sequence[str], at: Column
 ) -> DataFrame:
     """One row per key and day: the sum of `total` and the closing values of the day.
 
-    The closing row is the largest under `order_by`, ties broken by the closing
-    values themselves. Aggregating on (key, day) bounds every later per-key
-    window by the number of days, however many rows a hot key has.
+    The closing row is the one with the largest `at`, which has to tell the rows
+    of one key and day apart. A single fixed-width `at` (a timestamp, a number)
+    keeps every buffer fixed-width too, so this is a hash aggregation with a
+    map-side partial step and no sort. Aggregating on (key, day) bounds every
+    later per-key window by the number of days, however many rows a hot key has.
     """
-    last = F.max(F.struct(*order_by, *[c for c in closing if c not in order_by]))
-    return (
-        df.groupBy(key, day)
-        .agg(
-            last.alias("__last"),
-            F.sum(F.coalesce(F.col(total), F.lit(0))).alias(total),
-        )
-        .select(key, day, *[F.col(f"__last.{c}").alias(c) for c in closing], total)
+    return df.groupBy(key, day).agg(
+        *[F.max_by(F.col(c), at).alias(c) for c in closing],
+        F.sum(F.coalesce(F.col(total), F.lit(0))).alias(total),
     )
 
 

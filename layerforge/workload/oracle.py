@@ -237,7 +237,7 @@ users AS (
 _RATINGS = """ratings AS (
   SELECT l_partkey AS id,
          CAST(coalesce(CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate END, l_shipdate) AS DATE) AS dt,
-         l_orderkey AS order_no, l_linenumber AS line_no, l_extendedprice AS price,
+         l_orderkey AS order_no, CAST(floor(l_extendedprice) AS DOUBLE) AS price,
          CASE WHEN l_linenumber <> 7 THEN l_discount * 50 END AS rating_rate,
          CASE WHEN l_tax > 0 THEN CAST(l_quantity AS INTEGER) END AS rating_count
   FROM lineitem
@@ -246,8 +246,8 @@ _RATINGS = """ratings AS (
 _FACT = f"""{_RATINGS},
 closing AS (
   SELECT id, dt, price, rating_rate FROM ratings
-  QUALIFY row_number() OVER (PARTITION BY id, dt ORDER BY order_no DESC NULLS LAST,
-    line_no DESC NULLS LAST, price DESC NULLS LAST, rating_rate DESC NULLS LAST) = 1
+  QUALIFY row_number() OVER (PARTITION BY id, dt ORDER BY order_no DESC, price DESC,
+    rating_rate DESC NULLS LAST) = 1
 ),
 totals AS (
   SELECT id, dt, CAST(sum(coalesce(rating_count, 0)) AS BIGINT) AS n FROM ratings GROUP BY id, dt

@@ -194,7 +194,7 @@ def global_rating_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.fact_product_metrics_daily(
-        roles.ratings(spark, sf_dir), roles.RATING_ORDER, keep_id=True
+        roles.ratings(spark, sf_dir), roles.rating_order(), keep_id=True
     )
 
 

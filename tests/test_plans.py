@@ -184,18 +184,20 @@ def day(n, hour=0):
 
 
 def history(seed=5, days=6, products=8):
+    """Product 0 is hot: 40 rows on every day. Times of one product never repeat."""
     import random
 
     rng = random.Random(seed)
     out = []
     for i in range(products):
         for d in range(1, days + 1):
-            for h in range(40 if i == 0 else rng.choice([0, 1, 1, 2])):
+            for n in range(40 if i == 0 else rng.choice([0, 1, 1, 2])):
+                at = day(d) + datetime.timedelta(minutes=n)
                 out.append(
                     (
                         i, f"t{i}", None, None, rng.choice(["A", "b", None]), float(rng.randrange(9)),
                         rng.choice([None, 1.0, 2.5, 5.0]), rng.choice([None, 0, 3, 8]),
-                        day(d), day(d, h % 24) if rng.random() < 0.8 else None,
+                        at, at if rng.random() < 0.8 else None,
                     )
                 )
     return out
@@ -210,14 +212,9 @@ def test_fact_matches_brute_force(spark):
     for r in data:
         groups[(r[0], (r[9] or r[8]).date())].append(r)
 
-    def low(v):
-        return (v is not None, v if v is not None else 0)
-
     expected, cum = {}, defaultdict(int)
     for (i, d), rs in sorted(groups.items()):
-        last = max(
-            rs, key=lambda r: (low(r[9] and r[9].timestamp()), low(r[8].timestamp()), low(r[5]), low(r[6]))
-        )
+        last = max(rs, key=lambda r: r[9] or r[8])
         add = sum(r[7] or 0 for r in rs)
         cum[i] += add
         score = None if last[6] is None else (20 * mean + last[6] * cum[i]) / (20 + cum[i])
