@@ -20,15 +20,18 @@ def upsert(
     key: str,
     order_by: Sequence[Column] | None = None,
     ties: Sequence[str] | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """SCD1 merge: rows of `updates` replace rows of `target` with the same key.
 
     With `order_by`, several updates of one key are reduced to the first under
     that order. The anti join reads only the key of `updates`, before they are
     reduced; when those keys are few the optimizer broadcasts them and the
-    target is not shuffled.
+    target is not shuffled. `keys` gives the same keys from a cheaper plan, when
+    `updates` was itself reduced before.
     """
-    kept = target.join(updates.select(key), key, "left_anti")
+    replaced = updates if keys is None else keys
+    kept = target.join(replaced.select(key), key, "left_anti")
     if order_by is not None:
         updates = latest_per_key(updates, key, order_by, ties=ties)
     return evolved_union(kept, updates)

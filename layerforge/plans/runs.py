@@ -133,8 +133,9 @@ def to_silver(
 
     # Bronze holds one row per id and batch, so the batch tells versions apart.
     ties = ("batch_id",)
+    id_type = lake.id_type if entity == "products" else "int"
     if entity == "products":
-        taxonomy, id_type = lake.taxonomy, lake.id_type
+        taxonomy = lake.taxonomy
         latest = silver.products(source, as_of, taxonomy, id_type, ties)
         keyless = silver.products_checked(
             quality.without_key(source, "id"), as_of, taxonomy, id_type
@@ -143,7 +144,8 @@ def to_silver(
         latest = silver.users(source, as_of, ties)
         keyless = silver.users_checked(quality.without_key(source, "id"), as_of)
     if before is not None:
-        latest = upsert(before, latest, "id")
+        batch_ids = source.select(F.col("id").try_cast(id_type).alias("id"))
+        latest = upsert(before, latest, "id", keys=batch_ids)
     if before is not None and keyless_before is not None:
         keyless = keyless_before.unionByName(keyless)
 

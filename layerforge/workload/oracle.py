@@ -402,6 +402,26 @@ def oracle_sql() -> dict[str, str]:
         "product_catalog_top20": _with(
             _CATALOG, "SELECT * FROM catalog ORDER BY last_dt DESC, id LIMIT 20"
         ),
+        "latest_fact_per_product": _with(
+            _FACT,
+            """SELECT product_id, rating_count_cum, rating_bayes_score, dt FROM fact
+               QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY dt DESC) = 1""",
+        ),
+        "bronze_one_per_id": _with(
+            _P,
+            """SELECT id, version, title, price FROM p WHERE id IS NULL UNION ALL
+               SELECT id, version, title, price FROM p WHERE id IS NOT NULL
+               QUALIFY row_number() OVER (PARTITION BY id ORDER BY version DESC) = 1""",
+        ),
+        "accepted_users": _with(
+            _USERS, "SELECT id, email, username, zipcode FROM users WHERE NOT dq_invalid_flag"
+        ),
+        "dim_user_null_safe": _with(
+            f"{_USERS}, {_DIM_USER}",
+            f"""SELECT id AS user_id, city_key FROM users u LEFT JOIN dim_city c
+                ON {_initcap("trim(u.city)")} IS NOT DISTINCT FROM c.city
+                AND upper(trim(u.zipcode)) IS NOT DISTINCT FROM c.zipcode""",
+        ),
         "contract_violations": _with(
             f"{_P}, {_U}, {_RATINGS}",
             f"""SELECT 'products.id not null' AS contract, count(*) AS violations FROM p WHERE id IS NULL

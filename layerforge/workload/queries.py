@@ -258,6 +258,32 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def bronze_one_per_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per id of a raw batch; every row without an id stays."""
+    batch = roles.products(spark, sf_dir).withColumn("file_origin", F.col("version"))
+    return bronze.one_per_id(batch).select("id", "version", "title", "price")
+
+
+def accepted_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The other side of the quarantine."""
+    return quality.accepted(_users(spark, sf_dir)).select("id", "email", "username", "zipcode")
+
+
+def dim_user_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users with half an address find their city too."""
+    users = _users(spark, sf_dir)
+    cities = gold.dim_city(users, roles.as_of())
+    dim = gold.dim_user(users, cities, roles.as_of(), unique=True, null_safe=True)
+    return dim.select("user_id", "city_key")
+
+
+def latest_fact_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    last = running.latest_day(
+        _fact(spark, sf_dir), "product_id", "dt", "rating_count_cum", "rating_bayes_score"
+    )
+    return last.withColumn("rating_bayes_score", F.round("rating_bayes_score", 6))
+
+
 def upsert_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First versions as the target, all later versions as updates."""
     keyed = roles.products(spark, sf_dir).where(F.col("id").isNotNull())
@@ -346,6 +372,10 @@ def queries() -> dict[str, Query]:
         latest_dt_per_product,
         product_catalog,
         product_catalog_top20,
+        latest_fact_per_product,
+        bronze_one_per_id,
+        accepted_users,
+        dim_user_null_safe,
         contract_violations,
         upsert_scd1,
         schema_evolution_union,

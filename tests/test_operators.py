@@ -239,3 +239,8 @@ def test_contracts_count_and_enforce(spark):
 def test_key_collisions_count_keys_with_several_ids(spark):
     df = spark.createDataFrame([(7, 1), (7, 1), (7, 2), (8, 3)], "k bigint, id int")
     assert contracts.key_collisions(df, "c", "k", ["id"]).first()["violations"] == 1
+    pairs = spark.createDataFrame(
+        [(1, "a", None), (1, "a", "z"), (2, "b", None), (2, "b", None), (3, "a", "x"), (3, "b", "x")],
+        "k bigint, c string, z string",
+    )
+    assert contracts.key_collisions(pairs, "c", "k", ["c", "z"]).first()["violations"] == 2
