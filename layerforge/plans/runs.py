@@ -97,12 +97,15 @@ def _carried(
     """Rows of the last snapshot before `day`, restamped; None when there is none."""
     if not spark.catalog.tableExists(table):
         return None
-    earlier = spark.table(table).where(F.col("snapshot") < day)
-    last = earlier.agg(F.max("snapshot")).first()[0]
+    # Partition names come from the catalog: no file is opened to find the day.
+    name = F.regexp_extract("partition", "snapshot=([^/]+)", 1)
+    listed = spark.sql(f"SHOW PARTITIONS {table}").select(name.alias("snapshot"))
+    last = listed.where(F.col("snapshot") < day).agg(F.max("snapshot")).first()[0]
     if last is None:
         return None
     return (
-        earlier.where((F.col("snapshot") == last) & rows)
+        spark.table(table)
+        .where((F.col("snapshot") == last) & rows)
         .drop("snapshot")
         .withColumn("processed_at", audit_time(as_of))
     )

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Columns are built without recording the Python line of each of them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

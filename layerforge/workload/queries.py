@@ -27,16 +27,16 @@ CHUNK_ROWS = 50
 TIES = ("version",)
 
 
-def _products_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.products_checked(
-        roles.products(spark, sf_dir), roles.as_of(), roles.TAXONOMY, id_type="bigint"
-    )
+def _checked_products(raw: DataFrame) -> DataFrame:
+    return silver.products_checked(raw, roles.as_of(), roles.TAXONOMY, id_type="bigint")
+
+
+def _latest_products(raw: DataFrame) -> DataFrame:
+    return silver.products(raw, roles.as_of(), roles.TAXONOMY, "bigint", TIES)
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.products(
-        roles.products(spark, sf_dir), roles.as_of(), roles.TAXONOMY, "bigint", TIES
-    )
+    return _latest_products(roles.products(spark, sf_dir))
 
 
 def _categories(products: DataFrame) -> DataFrame:
@@ -44,12 +44,12 @@ def _categories(products: DataFrame) -> DataFrame:
     return F.broadcast(gold.dim_category(products, roles.as_of()))
 
 
-def _users_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.users_checked(roles.users(spark, sf_dir), roles.as_of())
+def _latest_users(raw: DataFrame) -> DataFrame:
+    return silver.users(raw, roles.as_of(), TIES)
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.users(roles.users(spark, sf_dir), roles.as_of(), TIES)
+    return _latest_users(roles.users(spark, sf_dir))
 
 
 def _issues_as_text(df: DataFrame) -> DataFrame:
@@ -65,20 +65,22 @@ def silver_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quarantine_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _issues_as_text(
-        silver.quarantine(_products(spark, sf_dir), _products_checked(spark, sf_dir))
-    )
+    raw = roles.products(spark, sf_dir)
+    return _issues_as_text(silver.quarantine(_latest_products(raw), _checked_products(raw)))
 
 
 def quarantine_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = roles.users(spark, sf_dir)
     return _issues_as_text(
-        silver.quarantine(_users(spark, sf_dir), _users_checked(spark, sf_dir))
+        silver.quarantine(_latest_users(raw), silver.users_checked(raw, roles.as_of()))
     )
 
 
 def dq_issue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.issue_summary(_products_checked(spark, sf_dir), "products").unionByName(
-        quality.issue_summary(_users_checked(spark, sf_dir), "users")
+    products = _checked_products(roles.products(spark, sf_dir))
+    users = silver.users_checked(roles.users(spark, sf_dir), roles.as_of())
+    return quality.issue_summary(products, "products").unionByName(
+        quality.issue_summary(users, "users")
     )
 
 
