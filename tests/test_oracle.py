@@ -69,6 +69,36 @@ def test_matches_sql(name, spark, sf_dir, db):
     assert not differing, differing[:3]
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "category_taxonomy_join",
+        "dim_user",
+        "dim_user_null_safe",
+        "product_catalog",
+        "raw_chunk_assignment",
+        "upsert_scd1",
+        "user_directory",
+    ],
+)
+def test_matches_sql_when_no_side_is_small_and_keys_are_split(name, spark, sf_dir, db):
+    large = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4096",
+    }
+    before = {k: spark.conf.get(k, None) for k in large}
+    try:
+        for k, v in large.items():
+            spark.conf.set(k, v)
+        test_matches_sql(name, spark, sf_dir, db)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_entry(spark):
     if not os.path.isdir("/root/testdata/sf0.001"):
         pytest.skip("benchmark tables are not here")
