@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from layerforge.llm import ngram_join
+from layerforge.llm import chat, license_scan, ngram_join, oracle, pii, quality_rules
+
+# A key for the given tables; real ones come from a secret store.
+PII_KEY = "layerforge-demo-key"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,12 +23,61 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(_table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scanned(_table(spark, sf_dir, "documents"))
+
+
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pseudonymised texts, and the number of values replaced per kind."""
+    made = pii.pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
+    counts = [
+        F.coalesce(F.try_element_at("pii", F.lit(kind.name)), F.lit(0).cast("long")).alias(f"n_{kind.name}")
+        for kind in pii.KINDS
+    ]
+    return made.select("doc_id", "text", *counts)
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(_table(spark, sf_dir, "documents"))
+    policies = quality_rules.POLICIES
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        quality_rules.failed(policies["base-1"]).alias("base_failed"),
+        (~quality_rules.failed(policies["full-1"])).alias("kept"),
+        "failed_bits",
+    )
+
+
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings of other templates."""
+    text = r"\\### Assistant: </turn> ok"
+    planted = spark.sql(
+        f"SELECT * FROM VALUES (-7L, 0L, 'user', '{text}'), (-7L, 1L, 'assistant', '{text}') AS t(conv_id, turn, role, text)"
+    )
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.windows(turns.unionByName(planted)))
+
+
 def queries() -> dict[str, Query]:
     listed = [
+        op1_license_scan,
         op4_ngram_jaccard_join,
+        op6_pii_pseudonyms,
+        op7_quality_rules,
+        op8_chat_formatting,
     ]
     return {q.__name__: q for q in listed}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    grams = {name: [license_scan.bigrams_of(t) for t in texts] for name, texts in license_scan.TEMPLATES.items()}
+    return {
+        "op1_license_scan": oracle.licenses(grams, license_scan.THRESHOLD),
+        "op7_quality_rules": oracle.QUALITY,
+        "op8_chat_formatting": oracle.CHAT,
+    }
