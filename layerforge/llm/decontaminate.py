@@ -23,12 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from layerforge.llm import bit_tables
 from layerforge.llm import words as w
 from layerforge.llm.storage import with_package, written
 
 HASHES = 64
-TABLE_BITS = 26
-_PARTS = 64
 _U = np.uint64
 _FACTORS = w.mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _LABELS = w.mixed(np.arange(1, HASHES + 1, dtype=np.uint64) ^ _U(0xD6E8FEB86659FD93))
@@ -79,40 +78,6 @@ def _item_rows(width: int):
     return run
 
 
-def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The parts of the bit table that the keys of this task fall in."""
-    size = (1 << TABLE_BITS) // _PARTS
-    tables: dict[int, np.ndarray] = {}
-    for batch in batches:
-        cell = (batch["key"].to_numpy().view(np.uint64) >> _U(64 - TABLE_BITS)).astype(np.int64)
-        for part in np.unique(cell // size).tolist():
-            table = tables.setdefault(part, np.zeros(size, bool))
-            table[cell[cell // size == part] % size] = True
-    if tables:
-        yield pa.RecordBatch.from_pydict(
-            {"part": pa.array(list(tables), pa.int32()), "bits": pa.array([np.packbits(t).tobytes() for t in tables.values()], pa.binary())}
-        )
-
-
-def _table(keys: DataFrame) -> np.ndarray:
-    """Which key ranges any item uses: 64 MiB of bytes in a task, 8 MiB of bits sent, whatever the number of items."""
-    rows = (
-        keys.repartition(F.shiftrightunsigned("key", 64 - 6))
-        .mapInArrow(_bits, "part int, bits binary")
-        .toLocalIterator()
-    )
-    size = (1 << TABLE_BITS) // _PARTS // 8
-    out = np.zeros((1 << TABLE_BITS) // 8, np.uint8)
-    for row in rows:
-        out[row["part"] * size : (row["part"] + 1) * size] |= np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
-def _known(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    cell = keys >> _U(64 - TABLE_BITS)
-    return (table[(cell >> _U(3)).astype(np.int64)] >> (_U(7) - (cell & _U(7))).astype(np.uint8)) & 1 == 1
-
-
 def _window_keys(shingles: np.ndarray, ends: np.ndarray, classes: list[int], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, key) of all window values that the table knows."""
     rows, keys = [], []
@@ -138,7 +103,7 @@ def _window_keys(shingles: np.ndarray, ends: np.ndarray, classes: list[int], tab
             joined = who[1:] == who[:-1]
             pair[:-1] = np.where(joined, np.minimum(least[:-1], least[1:]), least[:-1])
             key = _keys(pair, k, c)
-            hit = np.flatnonzero(_known(table, key))
+            hit = np.flatnonzero(bit_tables.known(table, key))
             rows.append(who[hit])
             keys.append(key[hit])
     return np.concatenate(rows), np.concatenate(keys)
@@ -161,7 +126,7 @@ def _document_rows(width: int, classes: list[int], short: list[int], table):
                 extra: dict[int, list[np.ndarray]] = {}
                 for m in short:  # items of fewer words than a shingle are sought as they are
                     grams, to = w.all_shingles(found, before, m)
-                    hit = np.flatnonzero(_known(table.value, w.mixed(grams)))
+                    hit = np.flatnonzero(bit_tables.known(table.value, w.mixed(grams)))
                     where = np.searchsorted(to, hit, side="right") - 1
                     rows, keys = np.concatenate([rows, where]), np.concatenate([keys, w.mixed(grams[hit])])
                     for r, g in zip(where.tolist(), grams[hit], strict=True):
@@ -213,7 +178,7 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = 5, percent: int = 80)
         F.sort_array(F.collect_set(F.when((F.col("words") > 0) & (F.col("words") < width), F.col("words")))).alias("short"),
     ).first()
     keys = items.select("item", F.explode("keys").alias("key"))
-    table = spark.sparkContext.broadcast(_table(keys.select("key").distinct()))
+    table = spark.sparkContext.broadcast(bit_tables.table_of(keys))
     found = written(
         docs.mapInArrow(
             _document_rows(width, list(shape["classes"]), list(shape["short"]), table),

@@ -116,3 +116,33 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_notices, coalesce(licenses, '') AS li
        best AS best_license, round(dice, 6) AS best_dice
 FROM d LEFT JOIN f USING (r)
 """
+
+
+LEAKS = r"""
+WITH words AS (
+    SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id,
+           list_filter(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+    UNION ALL
+    SELECT 'i', row_number() OVER (), item_id,
+           list_filter(string_split_regex(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[\x20\x09-\x0D]+'), lambda x: x <> '')
+    FROM benchmark
+), widths AS (
+    SELECT DISTINCT least(len(w), 5) AS k FROM words WHERE side = 'i' AND len(w) > 0
+), item AS (
+    SELECT DISTINCT r, id, least(len(w), 5) AS k, list_slice(w, p, p + least(len(w), 5) - 1) AS g
+    FROM (SELECT *, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS p FROM words WHERE side = 'i' AND len(w) > 0)
+), doc AS (
+    SELECT DISTINCT r, id, list_slice(w, p, p + k - 1) AS g
+    FROM (SELECT *, unnest(generate_series(1, len(w) - k + 1)) AS p
+          FROM words, widths WHERE side = 'd' AND len(w) >= k)
+), size AS (SELECT r, count(*) AS n FROM item GROUP BY r)
+SELECT doc.id AS doc_id, item.id AS item_id, count(*)::BIGINT AS n_shared, any_value(size.n)::BIGINT AS n_item
+FROM item JOIN doc USING (g) JOIN size ON size.r = item.r
+GROUP BY item.r, doc.r, item.id, doc.id
+HAVING 100 * count(*) >= 80 * any_value(size.n)
+"""

@@ -231,7 +231,7 @@ def _with_open(done: pa.RecordBatch | None, left: pa.RecordBatch | None) -> pa.R
 def _merged(window: int, first: int):
     """Fill windows with the left pieces of a group of tasks; the last window may stay short."""
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key, table):
         group = key[0].as_py()
         current, made, out = _Window(), 0, []
         rows = sorted(table.select(["row", "start", "doc_id", "doc_tokens", "ids"]).to_pylist(), key=lambda r: (r["row"], r["start"]))

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerforge.llm import chat, license_scan, ngram_join, oracle, pii, quality_rules
+from layerforge.llm import (
+    chat,
+    decontaminate,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    oracle,
+    packing,
+    pii,
+    quality_rules,
+)
 
 # A key for the given tables; real ones come from a secret store.
 PII_KEY = "layerforge-demo-key"
@@ -19,6 +30,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every long enough line with the first line of its class, which is the one that stays."""
+    found = line_dedup.line_classes(_table(spark, sf_dir, "documents"))
+    kept = (F.col("doc_id") == F.col("first_doc_id")) & (F.col("line") == F.col("first_line"))
+    return found.select("doc_id", "line", "first_doc_id", "first_line", kept.alias("kept"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked_documents(_table(spark, sf_dir, "documents"), width=3, percent=90)
 
@@ -27,6 +49,10 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scanned(_table(spark, sf_dir, "documents"))
 
 
+def op5_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pseudonymised texts, and the number of values replaced per kind."""
     made = pii.pseudonymised(_table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY)
@@ -66,7 +92,10 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     listed = [
         op1_license_scan,
+        op2_line_dedup,
+        op3_benchmark_decontamination,
         op4_ngram_jaccard_join,
+        op5_token_packing,
         op6_pii_pseudonyms,
         op7_quality_rules,
         op8_chat_formatting,
@@ -78,6 +107,7 @@ def oracle_sql() -> dict[str, str]:
     grams = {name: [license_scan.bigrams_of(t) for t in texts] for name, texts in license_scan.TEMPLATES.items()}
     return {
         "op1_license_scan": oracle.licenses(grams, license_scan.THRESHOLD),
+        "op3_benchmark_decontamination": oracle.LEAKS,
         "op7_quality_rules": oracle.QUALITY,
         "op8_chat_formatting": oracle.CHAT,
     }
