@@ -17,7 +17,9 @@ from layerforge.llm import (
     oracle,
     packing,
     pii,
+    quality_model,
     quality_rules,
+    toxicity,
 )
 
 # A key for the given tables; real ones come from a secret store.
@@ -89,6 +91,19 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(turns.unionByName(planted)))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    made = toxicity.scored(docs, model, keep=("doc_id", "lang"))
+    return made.select("doc_id", "held_out", "score", "predicted", "flagged")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality_model.train(docs, _table(spark, sf_dir, "labels"))
+    return quality_model.scored(docs, model, keep=("doc_id",))
+
+
 def queries() -> dict[str, Query]:
     listed = [
         op1_license_scan,
@@ -99,6 +114,8 @@ def queries() -> dict[str, Query]:
         op6_pii_pseudonyms,
         op7_quality_rules,
         op8_chat_formatting,
+        op9_toxicity,
+        op10_quality_classifier,
     ]
     return {q.__name__: q for q in listed}
 
