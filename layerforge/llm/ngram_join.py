@@ -439,3 +439,21 @@ def linked_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
+
+
+def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs` with the smallest `doc_id` of each group of linked documents; all columns stay.
+
+    Documents that link with nothing stay, those without words or `doc_id` too. Of
+    rows that repeat both `doc_id` and text one stays.
+    """
+    found = written(linked_documents(docs, width, percent), "linked")
+    later = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__later")).distinct()
+    kept = docs.join(later, F.col("doc_id").cast("long") == F.col("__later"), "left_anti")
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
+    repeated = repeated.select(F.col("doc_id").alias("__repeated"))
+    if repeated.isEmpty():
+        return kept
+    same = F.col("doc_id").cast("long") == F.col("__repeated")
+    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, same, "left_anti").unionByName(once)
