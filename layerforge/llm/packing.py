@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ OPEN_WINDOWS = 16
 # Tasks whose leftovers are merged together: a merge sees at most so many times OPEN_WINDOWS windows.
 MERGED_TASKS = 64
 # Words whose ids a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 END_ID = 1
 
 _PIECE = "doc_id long, row long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -50,35 +51,48 @@ class WordTokens:
         # The usual printable stand-ins of bytes: printable Latin-1 stands for itself, the rest follows from 256.
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in own]
-        self._stand_in = {b: b for b in own} | {b: 256 + k for k, b in enumerate(rest)}
-        self._known: dict[bytes, int] = {}
-        self._flat = np.zeros(1 << 16, np.uint32)
-        self._starts, self._sizes = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self._used = 0
+        self._stand_in = {b: 256 + k for k, b in enumerate(rest)}
+        self._forget()
 
-    def _ids(self, word: bytes) -> list[int]:
-        text = word.decode("utf-8")
-        low = text.lower()
-        plain = self._PLAIN.fullmatch(low)
-        if plain and plain[1].isalpha() and max(plain[1]) < "ɐ":
-            bytewise = "".join(chr(self._stand_in[b]) for b in plain[1].encode())
-            ids = [t.id for t in self._model.tokenize(bytewise)]
-            return ids + self._full(plain[2]) if plain[2] else ids
-        return self._full(text)
+    def _forget(self) -> None:
+        """Start anew, so that memory stays bounded."""
+        self._known: dict[bytes, int] = {}
+        self._stems: dict[str, int] = {}
+        self._flat, self._starts, self._sizes = array("I"), array("q"), array("q")
+
+    def _stored(self, ids: Iterable[int]) -> int:
+        self._starts.append(len(self._flat))
+        self._flat.extend(ids)
+        self._sizes.append(len(self._flat) - self._starts[-1])
+        return len(self._starts) - 1
+
+    def _stem(self, text: str) -> int:
+        """Place of the ids of lower-case letters or of punctuation alone."""
+        place = self._stems.get(text)
+        if place is None:
+            if text.isalpha():
+                bytewise = text if text.isascii() else text.encode().decode("latin-1").translate(self._stand_in)
+                ids = [t.id for t in self._model.tokenize(bytewise)]
+            else:
+                ids = self._full(text)
+            place = self._stems[text] = self._stored(ids)
+        return place
 
     def _full(self, text: str) -> list[int]:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
 
     def _place(self, word: bytes) -> int:
         """Work out a new word and remember it."""
-        ids, place, at = self._ids(word), len(self._known), self._used
-        if at + len(ids) > len(self._flat):
-            self._flat = np.concatenate([self._flat, np.zeros(max(len(self._flat), len(ids)), np.uint32)])
-        if place == len(self._starts):
-            self._starts, self._sizes = np.tile(self._starts, 2), np.tile(self._sizes, 2)
-        self._flat[at : at + len(ids)] = ids
-        self._starts[place], self._sizes[place] = at, len(ids)
-        self._used = at + len(ids)
+        text = word.decode("utf-8")
+        plain = self._PLAIN.fullmatch(text.lower())
+        stem, tail = plain.groups() if plain else ("", "")
+        if plain and (stem.isascii() or (stem.isalpha() and max(stem) < "ɐ")):
+            place = self._stem(stem)
+            if tail:
+                parts = [self._flat[self._starts[p] : self._starts[p] + self._sizes[p]] for p in (place, self._stem(tail))]
+                place = self._stored(parts[0] + parts[1])
+        else:
+            place = self._stored(self._full(text))
         self._known[word] = place
         return place
 
@@ -87,19 +101,18 @@ class WordTokens:
         found = text.split()
         if not found:
             return np.zeros(0, np.uint32)
+        if len(self._known) > REMEMBERED:
+            self._forget()
         known = self._known
-        if len(known) > REMEMBERED:  # forget all words, so that memory stays bounded
-            known.clear()
-            self._used = 0
         places = [known.get(x, -1) for x in found]
         for k, place in enumerate(places):
             if place < 0:
                 word = found[k]
                 places[k] = known[word] if word in known else self._place(word)
         index = np.array(places)
-        starts, sizes = self._starts[index], self._sizes[index]
+        starts, sizes = np.frombuffer(self._starts, np.int64)[index], np.frombuffer(self._sizes, np.int64)[index]
         last = np.cumsum(sizes)
-        return self._flat[np.arange(last[-1]) + np.repeat(starts - (last - sizes), sizes)]
+        return np.frombuffer(self._flat, np.uint32)[np.arange(last[-1]) + np.repeat(starts - (last - sizes), sizes)]
 
 
 _ENCODERS: dict[str, WordTokens] = {}
