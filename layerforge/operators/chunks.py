@@ -7,6 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from layerforge.operators.contracts import unique_contract
+
+
+# Fewest and most buckets of the default.
+FEWEST, MOST = 8, 2000
+
+
+def order_contract(df: DataFrame, batch: Sequence[str], order: str) -> DataFrame:
+    """Contract row: places of a batch that two rows claim."""
+    return unique_contract(df, "chunks.order is unique", [*batch, order])
+
 
 def row_positions(
     df: DataFrame, batch: Sequence[str], order: str, bucket: Column | None = None
@@ -18,14 +29,24 @@ def row_positions(
     the buckets before it. Only one count per bucket meets in a batch's window,
     so a batch that holds a third of the table is still numbered by many tasks.
 
-    `order` must be unique per batch. `bucket` must not decrease as `order`
-    grows; the default cuts an integer order into ranges of a million.
+    `order` must be unique per batch (`order_contract` counts where it is not).
+    `bucket` must not decrease as `order` grows; the default cuts a numeric or
+    time order at its quantiles over the whole table, so buckets are few and
+    even however sparse the keys are: as many as the session has shuffle
+    partitions, so a batch that is the whole table still makes work for all
+    tasks. The cuts come as a scalar subquery.
     """
     if bucket is None:
-        bucket = F.floor(F.col(order) / F.lit(1_000_000))
+        n = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), FEWEST), MOST)
+        cuts = [k / n for k in range(1, n)]
+        bounds = df.agg(F.percentile_approx(order, cuts, 10 * n).alias("bounds")).scalar()
+        source = df.withColumn("__bounds", bounds)
+        bucket = F.size(F.filter("__bounds", lambda b: b < F.col(order)))
+    else:
+        source = df
     # A struct compares NULL fields as equal, so it is one null-safe key for the
     # aggregation, the join and the window, and all three share its partitioning.
-    grouped = df.withColumn("__group", F.struct(*batch, bucket.alias("__bucket")))
+    grouped = source.withColumn("__group", F.struct(*batch, bucket.alias("__bucket")))
     before = (
         Window.partitionBy(*[F.col(f"__group.{b}") for b in batch])
         .orderBy("__group.__bucket")
@@ -53,5 +74,4 @@ def chunk_numbers(
     if max_rows < 1:
         raise ValueError("max_rows must be positive")
     placed = row_positions(df, batch, order, bucket)
-    seq = F.floor((F.col("position") - 1) / F.lit(max_rows)) + 1
-    return placed.withColumn("seq", seq.cast("bigint")).drop("position")
+    return placed.withColumn("seq", F.expr(f"(position - 1) div {int(max_rows)} + 1")).drop("position")

@@ -71,6 +71,16 @@ def key_collisions(df: DataFrame, name: str, key: str, natural: Sequence[str]) -
     )
 
 
+def not_emptied(df: DataFrame, source: DataFrame, name: str) -> DataFrame:
+    """One violation when `df` has no row although its source has one."""
+    some = df.limit(1).agg(F.count(F.lit(1)).alias("n"))
+    given = source.limit(1).agg(F.count(F.lit(1)).alias("m"))
+    lost = some.select((F.col("n") == 0).alias("empty"), given.scalar().alias("m"))
+    return lost.select(
+        F.lit(name).alias("contract"), (F.col("empty") & (F.col("m") > 0)).cast("bigint").alias("violations")
+    )
+
+
 def all_contracts(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

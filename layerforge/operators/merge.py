@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from layerforge.operators.dedup import latest_per_key
 
@@ -22,16 +23,18 @@ def upsert(
     ties: Sequence[str] | None = None,
     keys: DataFrame | None = None,
 ) -> DataFrame:
-    """SCD1 merge: rows of `updates` replace rows of `target` with the same key.
-
-    With `order_by`, several updates of one key are reduced to the first under
-    that order. The anti join reads only the key of `updates`, before they are
-    reduced; when those keys are few the optimizer broadcasts them and the
-    target is not shuffled. `keys` gives the same keys from a cheaper plan, when
-    `updates` was itself reduced before.
+    """SCD1 merge: one row per key, the first of target and updates under `order_by`.
+
+    An update that is older than the row it meets does not replace it, so late
+    and repeated updates are harmless. Without `order_by`, updates always win.
+    Rows of `target` that no update touches pass by an anti join on the key
+    alone: when the keys are few the optimizer broadcasts them and those rows are not
+    shuffled; only the touched rows meet the updates. `keys` gives the keys of
+    the updates from a cheaper plan. Updates without a key are left out.
     """
-    replaced = updates if keys is None else keys
-    kept = target.join(replaced.select(key), key, "left_anti")
-    if order_by is not None:
-        updates = latest_per_key(updates, key, order_by, ties=ties)
-    return evolved_union(kept, updates)
+    touched = (updates if keys is None else keys).select(key).where(F.col(key).isNotNull())
+    kept = target.join(touched, key, "left_anti")
+    if order_by is None:
+        return evolved_union(kept, updates)
+    met = target.join(touched, key, "left_semi")
+    return evolved_union(kept, latest_per_key(evolved_union(met, updates), key, order_by, ties=ties))

@@ -77,12 +77,13 @@ def with_category(df: DataFrame, raw: str, taxonomy: Mapping[str, str]) -> DataF
 def with_category_table(df: DataFrame, raw: str, mapping: DataFrame) -> DataFrame:
     """`with_category` with an external table `(category_raw, category)`.
 
-    The table must hold one row per `category_raw`. It carries no broadcast
-    hint: its size is the user's, so the optimizer decides by its statistics
-    and adaptive execution splits a hot category if both sides are large.
+    Where it has several rows for a `category_raw`, the smallest `category`
+    holds, so rows never multiply. It carries no broadcast hint: its size is the
+    user's, so the optimizer decides by its statistics and adaptive execution
+    splits a hot category if both sides are large.
     """
-    lookup = mapping.select(
-        F.col("category_raw").alias("__raw"), F.col("category").alias("__mapped")
+    lookup = mapping.groupBy(F.col("category_raw").alias("__raw")).agg(
+        F.min("category").alias("__mapped")
     )
     mapped = F.col("__mapped")
     return df.join(lookup, F.col(raw) == F.col("__raw"), "left").select(

@@ -21,10 +21,14 @@ def one_per_id(df: DataFrame) -> DataFrame:
 
 
 def bronze(
-    spark: SparkSession, entity: str, path: str | list[str], as_of: AsOf = None
+    spark: SparkSession,
+    entity: str,
+    path: str | list[str],
+    as_of: AsOf = None,
+    id_type: str = "int",
 ) -> DataFrame:
     """Scan the raw files of an entity and make its bronze rows."""
-    return one_per_id(stamped(read_raw(spark, path, entity_schema(entity)), as_of))
+    return one_per_id(stamped(read_raw(spark, path, entity_schema(entity, id_type)), as_of))
 
 
 def relational_products(products: DataFrame, as_of: AsOf = None) -> DataFrame:

@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from layerforge.functions.audit import audit_time
+from layerforge.functions import numeric
 from layerforge.operators import contracts as rules
 from layerforge.operators import quality
+from layerforge.operators.dedup import newest_first
 from layerforge.operators.merge import upsert
 from layerforge.plans import bronze as bronze_plan
 from layerforge.plans import gold, silver
 from layerforge.sources import landing, sinks
 
 
+# Formats whose tables are plain files in folders: slices are switched folder by folder.
+FORMATS = ("parquet", "orc")
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the layers live and how they are written."""
@@ -34,6 +38,10 @@ class Lake:
     id_type: str = "int"
     taxonomy: Mapping[str, str] = field(default_factory=lambda: dict(silver.CATEGORIES))
 
+    def __post_init__(self) -> None:
+        if self.fmt not in FORMATS:
+            raise ValueError(f"unknown format {self.fmt!r}, expected one of {FORMATS}")
+
     def path(self, layer: str, table: str) -> str:
         return f"{self.base.rstrip('/')}/{layer}/{self.source}/{table}"
 
@@ -43,10 +51,6 @@ class Lake:
         )
 
 
-# Raw categories split the bronze products; users are not split below the batch.
-BRONZE_PARTITIONS = {"products": ("category",), "users": ()}
-
-
 def land(
     items: DataFrame, lake: Lake, entity: str, day: date, batch_id: str
 ) -> str | None:
@@ -55,60 +59,41 @@ def land(
     return folder if landing.write_raw(items, folder, lake.max_lines) else None
 
 
-def _slice_table(
-    spark: SparkSession,
-    df: DataFrame,
-    table: str,
-    path: str,
-    column: str,
-    value: str,
-    fmt: str,
-    partition_by: tuple[str, ...] = (),
-) -> DataFrame:
-    sinks.replace_slice(df, path, column, value, fmt, partition_by)
-    inner = [f for f in df.schema.fields if f.name not in (column, *partition_by)]
-    parts = [T.StructField(column, T.StringType())] + [df.schema[p] for p in partition_by]
-    sinks.register(
-        spark, table, path, T.StructType(inner + parts), fmt, (column, *partition_by)
-    )
-    return spark.table(table)
+def _check_days(spark: SparkSession) -> None:
+    """Days are UTC days, whatever session the run is given."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"days are UTC days, but the session's time zone is {zone}")
+
+
+def _stamp(as_of: datetime) -> Column:
+    """`as_of` as a UTC timestamp; without a zone it is UTC, not the zone of the driver."""
+    if as_of.tzinfo is None:
+        as_of = as_of.replace(tzinfo=UTC)
+    return F.timestamp_micros(F.lit(int(as_of.timestamp() * 1_000_000)))
 
 
 def to_bronze(
     spark: SparkSession, lake: Lake, entity: str, raw: str, batch_id: str, as_of: datetime
 ) -> DataFrame:
-    """BRONZE: one slice per batch."""
+    """BRONZE: one slice per batch. Also a view `bronze_<entity>` for ad-hoc SQL."""
+    _check_days(spark)
     sinks.create_namespace(spark, lake.bronze)
-    return _slice_table(
-        spark,
-        bronze_plan.bronze(spark, entity, raw, as_of),
-        f"{lake.bronze}.{entity}",
-        lake.path("bronze", entity),
-        "batch_id",
-        batch_id,
-        lake.fmt,
-        BRONZE_PARTITIONS[entity],
+    rows = bronze_plan.bronze(spark, entity, raw, _stamp(as_of), lake.id_type)
+    # Small categories share a file and lie together inside it; none becomes a folder name.
+    rows = rows.sortWithinPartitions("category") if entity == "products" else rows
+    table = sinks.publish_slice(
+        rows, f"{lake.bronze}.{entity}", lake.path("bronze", entity), "batch_id", batch_id, lake.fmt
     )
+    sinks.view(table, f"bronze_{entity}")
+    return table
 
 
-def _carried(
-    spark: SparkSession, table: str, day: str, as_of: datetime, rows: Column
-) -> DataFrame | None:
-    """Rows of the last snapshot before `day`, restamped; None when there is none."""
-    if not spark.catalog.tableExists(table):
-        return None
-    # Partition names come from the catalog: no file is opened to find the day.
-    name = F.regexp_extract("partition", "snapshot=([^/]+)", 1)
-    listed = spark.sql(f"SHOW PARTITIONS {table}").select(name.alias("snapshot"))
-    last = listed.where(F.col("snapshot") < day).agg(F.max("snapshot")).first()[0]
-    if last is None:
-        return None
-    return (
-        spark.table(table)
-        .where((F.col("snapshot") == last) & rows)
-        .drop("snapshot")
-        .withColumn("processed_at", audit_time(as_of))
-    )
+def _last_before(spark: SparkSession, table: str, column: str, day: str, until: bool = False) -> str | None:
+    """The last slice before `day`, or up to and with it. One name comes to the driver."""
+    values = sinks.slices(spark, table, column)
+    wanted = F.col("value") <= day if until else F.col("value") < day
+    return values.where(wanted).agg(F.max("value").alias("last")).first()["last"]
 
 
 def to_silver(
@@ -116,137 +101,176 @@ def to_silver(
 ) -> DataFrame:
     """SILVER: one snapshot per day, the latest row of every id, and its quarantine.
 
-    Without `batch_id` all of bronze is read. With it, only that batch is cleaned
-    and merged into the snapshot before (SCD1), so the cost of a day follows the
-    size of its batch and of one snapshot, not the length of the history.
-
-    The quarantine is read from the snapshot just written and from the bronze
-    rows without an id, both as pushed filters, so rows are cleaned only once.
+    Without `batch_id` all of bronze is read. With it, the run reads that batch and
+    every other batch that the snapshot of the last day before does not hold
+    yet, and merges them into that snapshot (SCD1, newest first). So several
+    batches of one day, late batches and repeated ones give the same rows as
+    reading all of bronze, while the cost follows the new batches and one
+    snapshot. Each snapshot records its batches in `<entity>_batches`.
     """
+    _check_days(spark)
     sinks.create_namespace(spark, lake.silver)
-    day = as_of.date().isoformat()
+    day, stamp = as_of.date().isoformat(), _stamp(as_of)
     name, held = f"{lake.silver}.{entity}", f"{lake.silver}.{entity}_quarantine"
-    source = spark.table(f"{lake.bronze}.{entity}")
-    before = keyless_before = None
-    if batch_id is not None:
-        before = _carried(spark, name, day, as_of, F.lit(True))
-        keyless_before = _carried(spark, held, day, as_of, F.col("id").isNull())
+    log = f"{lake.silver}.{entity}_batches"
+    bronze = spark.table(f"{lake.bronze}.{entity}")
+    landed = sinks.slices(spark, f"{lake.bronze}.{entity}", "batch_id").select(F.col("value").alias("batch"))
+    before = None if batch_id is None else _last_before(spark, name, "snapshot", day)
+    source, included = bronze, None
     if before is not None:
-        source = source.where(F.col("batch_id") == batch_id)
+        included = spark.table(log).where(F.col("snapshot") == before).select("batch")
+        # The names of the batches to read, usually one or a few.
+        new = landed.join(included, "batch", "left_anti").where(F.col("batch") != batch_id).collect()
+        source = bronze.where(F.col("batch_id").isin(batch_id, *(r["batch"] for r in new)))
 
     # Bronze holds one row per id and batch, so the batch tells versions apart.
-    ties = ("batch_id",)
-    id_type = lake.id_type if entity == "products" else "int"
+    ties, carry = ("batch_id",), ("batch_id",)
+    typed = silver.with_typed_id(source, lake.id_type)
+    keyless = quality.without_key(typed, "id")
     if entity == "products":
-        taxonomy = lake.taxonomy
-        latest = silver.products(source, as_of, taxonomy, id_type, ties)
-        keyless = silver.products_checked(
-            quality.without_key(source, "id"), as_of, taxonomy, id_type
-        )
+        latest = silver.products(source, stamp, lake.taxonomy, lake.id_type, ties, carry)
+        keyless = silver.products_checked(keyless, stamp, lake.taxonomy, lake.id_type, carry)
     else:
-        latest = silver.users(source, as_of, ties)
-        keyless = silver.users_checked(quality.without_key(source, "id"), as_of)
+        latest = silver.users(source, stamp, ties, lake.id_type, carry)
+        keyless = silver.users_checked(keyless, stamp, lake.id_type, carry)
+
+    def carried(table: str) -> DataFrame:
+        rows = spark.table(table).where(F.col("snapshot") == before).drop("snapshot")
+        return rows.withColumn("processed_at", stamp)
+
     if before is not None:
-        batch_ids = source.select(F.col("id").try_cast(id_type).alias("id"))
-        latest = upsert(before, latest, "id", keys=batch_ids)
-    if before is not None and keyless_before is not None:
-        keyless = keyless_before.unionByName(keyless)
+        ids = typed.select("id")
+        latest = upsert(carried(name), latest, "id", newest_first("ingestion_ts"), ties, keys=ids)
+        read = source.select("batch_id").distinct()
+        others = quality.without_key(carried(held), "id").join(read, "batch_id", "left_anti")
+        keyless = others.unionByName(keyless)
 
     def write(df: DataFrame, table: str) -> DataFrame:
         path = lake.path("silver", table)
-        return _slice_table(
-            spark, df, f"{lake.silver}.{table}", path, "snapshot", day, lake.fmt
-        )
+        return sinks.publish_slice(df, f"{lake.silver}.{table}", path, "snapshot", day, lake.fmt)
 
     table = write(latest, entity)
     snapshot = table.where(F.col("snapshot") == day).drop("snapshot")
     write(silver.quarantine(snapshot, keyless), f"{entity}_quarantine")
+    if included is None:
+        batches = landed
+    else:
+        batches = included.union(source.select("batch_id")).distinct()
+    write(batches, f"{entity}_batches")
     sinks.view(table, f"silver_{entity}")
     return table
 
 
+def _score_view(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The fact as a view: stored days, scored with the mean rate of all of them when it is read."""
+    days, rates = f"{lake.gold}.product_days", f"{lake.gold}.rating_days"
+    mean = f"(SELECT coalesce(sum(rate_sum) / sum(rate_count), 0D) FROM {rates})"
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {lake.gold}.fact_product_metrics_daily AS "
+        "SELECT to_date(dt) AS dt, product_key, product_id, price, rating_rate, rating_count_incremental, "
+        f"rating_count_cum, ({numeric.PRIOR_VOTES} * {mean} + rating_rate * rating_count_cum) "
+        f"/ ({numeric.PRIOR_VOTES} + rating_count_cum) AS rating_bayes_score FROM {days}"
+    )
+    return spark.table(f"{lake.gold}.fact_product_metrics_daily")
+
+
+def _fact_days(spark: SparkSession, lake: Lake, day: str) -> None:
+    """Write the fact rows of `day`: yesterday's running counts and today's snapshot, nothing older.
+
+    When the fact lacks a day that silver has, the days from the first gap up to
+    this one are made, each from the one before it.
+    """
+    days, rates = f"{lake.gold}.product_days", f"{lake.gold}.rating_days"
+    name = f"{lake.silver}.products"
+    snapshots = sinks.slices(spark, name, "snapshot").where(F.col("value") <= day)
+    there = sinks.slices(spark, days, "dt")
+    gap = snapshots.join(there, "value", "left_anti").agg(F.min("value").alias("first")).first()["first"]
+    start = day if gap is None else min(gap, day)
+    # Names of the days to make: one, unless days were left out.
+    todo = [r["value"] for r in snapshots.where(F.col("value") >= start).orderBy("value").collect()]
+    for one in todo:
+        before = _last_before(spark, days, "dt", one)
+        totals = (
+            spark.createDataFrame([], f"product_id {lake.id_type}, rating_count_cum bigint")
+            if before is None
+            else spark.table(days).where(F.col("dt") == before).select("product_id", "rating_count_cum")
+        )
+        rows = gold.fact_of_day(
+            spark.table(name).where(F.col("snapshot") == one), F.lit(one), totals, 0.0, keys=lake.keys
+        ).drop("rating_bayes_score")
+        table = sinks.publish_slice(rows, days, lake.path("gold", "product_days"), "dt", one, lake.fmt)
+        own = table.where(F.col("dt") == one)
+        rules.enforce(
+            rules.all_contracts(
+                rules.row_contracts(own, {"fact.rating_rate": rules.rate_in_range()}),
+                rules.unique_contract(own, "fact.grain", ["product_id"]),
+            )
+        )
+        summed = own.agg(
+            F.coalesce(F.sum("rating_rate"), F.lit(0.0)).alias("rate_sum"), F.count("rating_rate").alias("rate_count")
+        )
+        sinks.publish_slice(summed, rates, lake.path("gold", "rating_days"), "dt", one, lake.fmt)
+
+
 def to_gold(spark: SparkSession, lake: Lake, as_of: datetime) -> dict[str, DataFrame]:
-    """GOLD: dimensions and marts from the day's snapshot, the fact from all snapshots."""
+    """GOLD: dimensions and marts from the last snapshots up to the day, and the day's rows of the fact.
+
+    An entity without any snapshot up to the day is an error. Nothing after the
+    day takes part, so an old day can be run again; the fact keeps its later
+    days, while dimensions and marts show the day that ran last.
+    """
+    _check_days(spark)
     sinks.create_namespace(spark, lake.gold)
-    day = as_of.date().isoformat()
-
-    def current(entity: str) -> DataFrame:
-        return spark.table(f"{lake.silver}.{entity}").where(F.col("snapshot") == day)
-
-    def publish(name: str, df: DataFrame, check=None, partition_by=()) -> DataFrame:
-        return sinks.publish(
-            df,
-            f"{lake.gold}.{name}",
-            lake.path("gold", name),
-            lake.fmt,
-            partition_by,
-            check,
-        )
+    day, stamp = as_of.date().isoformat(), _stamp(as_of)
+
+    def current(entity: str) -> tuple[DataFrame, str]:
+        last = _last_before(spark, f"{lake.silver}.{entity}", "snapshot", day, until=True)
+        if last is None:
+            raise ValueError(f"there is no snapshot of {entity} up to {day}")
+        return spark.table(f"{lake.silver}.{entity}").where(F.col("snapshot") == last), last
+
+    def publish(name: str, df: DataFrame, check=None) -> DataFrame:
+        return sinks.publish(df, f"{lake.gold}.{name}", lake.path("gold", name), lake.fmt, (), check)
 
-    def keyed(table: str, key: str, natural: tuple[str, ...], not_null: str):
+    def keyed(table: str, key: str, natural: tuple[str, ...], not_null: str, source: DataFrame | None = None):
         def check(df: DataFrame) -> DataFrame:
-            return rules.all_contracts(
+            frames = [
                 rules.row_contracts(df, {f"{table}.{not_null}": rules.not_null(not_null)}),
                 rules.unique_contract(df, f"{table}.unique", natural),
-                # Exact joins go by the natural id; where the hash is the only
-                # join key it has to be unique.
-                *(
-                    [rules.key_collisions(df, f"{table}.{key}", key, natural)]
-                    if key in ("category_key", "city_key")
-                    else []
-                ),
-            )
+            ]
+            if key in ("category_key", "city_key"):  # where the hash may be the only join key it has to be unique
+                frames.append(rules.key_collisions(df, f"{table}.{key}", key, natural))
+            if source is not None:
+                frames.append(rules.not_emptied(df, source, f"{table} is empty"))
+            return rules.all_contracts(*frames)
 
         return check
 
-    def fact_check(df: DataFrame) -> DataFrame:
-        return rules.all_contracts(
-            rules.row_contracts(df, {"fact.rating_rate": rules.rate_in_range()}),
-            rules.unique_contract(df, "fact.grain", ["dt", "product_id"]),
-        )
-
-    products, users = current("products"), current("users")
+    (products, product_day), (users, _) = current("products"), current("users")
     out: dict[str, DataFrame] = {}
     out["dim_category"] = publish(
         "dim_category",
-        gold.dim_category(products, as_of, lake.keys),
+        gold.dim_category(products, stamp, lake.keys),
         keyed("dim_category", "category_key", ("category",), "category_key"),
     )
     out["dim_product"] = publish(
         "dim_product",
-        gold.dim_product(products, out["dim_category"], as_of, lake.keys, unique=True),
-        keyed("dim_product", "product_key", ("product_id",), "product_id"),
-    )
-    out["fact_product_metrics_daily"] = publish(
-        "fact_product_metrics_daily",
-        # A snapshot has one row per product and is one day of the fact.
-        gold.fact_product_metrics_daily(
-            spark.table(f"{lake.silver}.products"),
-            keys=lake.keys,
-            keep_id=True,
-            day=F.to_date("snapshot"),
-            closed=True,
-        ),
-        fact_check,
-        ("dt",),
-    )
-    out["product_catalog"] = publish(
-        "product_catalog",
-        gold.product_catalog(
-            out["dim_product"], out["dim_category"], out["fact_product_metrics_daily"]
-        ),
+        gold.dim_product(products, None, stamp, lake.keys, unique=True),
+        keyed("dim_product", "product_key", ("product_id",), "product_id", products),
     )
+    _fact_days(spark, lake, product_day)
+    out["fact_product_metrics_daily"] = fact = _score_view(spark, lake)
+    until = fact.where(F.col("dt") <= F.lit(day).cast("date"))
+    out["product_catalog"] = publish("product_catalog", gold.product_catalog(products, None, until))
     out["dim_city"] = publish(
         "dim_city",
-        gold.dim_city(users, as_of, lake.keys),
+        gold.dim_city(users, stamp, lake.keys),
         keyed("dim_city", "city_key", ("city", "zipcode"), "city_key"),
     )
     out["dim_user"] = publish(
         "dim_user",
-        gold.dim_user(users, out["dim_city"], as_of, lake.keys, unique=True),
-        keyed("dim_user", "user_key", ("user_id",), "user_id"),
-    )
-    out["user_directory"] = publish(
-        "user_directory", gold.user_directory(out["dim_user"], out["dim_city"])
+        gold.dim_user(users, None, stamp, lake.keys, unique=True),
+        keyed("dim_user", "user_key", ("user_id",), "user_id", users),
     )
+    out["user_directory"] = publish("user_directory", gold.user_directory(users, None, stamp))
     return out

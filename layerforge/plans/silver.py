@@ -19,7 +19,7 @@ from layerforge.functions.audit import AsOf, audit_time
 from layerforge.operators import quality
 from layerforge.operators.dedup import latest_per_key, newest_first
 
-# The category taxonomy.
+# The category taxonomy and, below, the tags of the rules.
 CATEGORIES = {
     "men's clothing": "mens_clothing",
     "women's clothing": "womens_clothing",
@@ -28,6 +28,11 @@ CATEGORIES = {
 }
 
 
+def with_typed_id(bronze: DataFrame, id_type: str) -> DataFrame:
+    """Cast the id before rows are told apart by it: an id that does not cast is no id, `"07"` is 7."""
+    return bronze.withColumn("id", F.col("id").try_cast(id_type))
+
+
 def latest_versions(bronze: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
     """Newest row per id, rows without a timestamp last.
 
@@ -41,9 +46,9 @@ def latest_versions(bronze: DataFrame, ties: Sequence[str] | None = None) -> Dat
 
 
 def flat_products(
-    bronze: DataFrame, as_of: AsOf = None, id_type: str = "int"
+    bronze: DataFrame, as_of: AsOf = None, id_type: str = "int", carry: Sequence[str] = ()
 ) -> DataFrame:
-    """Flatten the rating, trim text, round the price; the category is still raw."""
+    """Flatten the rating, trim text, round the price; the category is still raw. `carry` names columns to keep."""
     return bronze.select(
         F.col("id").try_cast(id_type).alias("id"),
         F.trim("title").alias("title"),
@@ -55,6 +60,7 @@ def flat_products(
         F.col("rating.count").cast("int").alias("rating_count"),
         "ingestion_ts",
         audit_time(as_of).alias("processed_at"),
+        *carry,
     )
 
 
@@ -90,9 +96,10 @@ def products_checked(
     as_of: AsOf = None,
     taxonomy: Mapping[str, str] | DataFrame = CATEGORIES,
     id_type: str = "int",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Every product row, cleaned and flagged. The taxonomy is a mapping or a table."""
-    flat = flat_products(bronze, as_of, id_type)
+    flat = flat_products(bronze, as_of, id_type, carry)
     categorise = (
         quality.with_category_table if isinstance(taxonomy, DataFrame) else quality.with_category
     )
@@ -107,22 +114,25 @@ def products(
     taxonomy: Mapping[str, str] | DataFrame = CATEGORIES,
     id_type: str = "int",
     ties: Sequence[str] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The latest version of every product, cleaned and flagged."""
-    checked = products_checked(latest_versions(bronze, ties), as_of, taxonomy, id_type)
-    return quality.with_key(checked, "id")
+    latest = latest_versions(with_typed_id(bronze, id_type), ties)
+    return products_checked(latest, as_of, taxonomy, id_type, carry)
 
 
 # --------------------------------------------------------------------- users
 
 
-def flat_users(bronze: DataFrame, as_of: AsOf = None) -> DataFrame:
+def flat_users(
+    bronze: DataFrame, as_of: AsOf = None, id_type: str | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
     """Flatten name and address, normalise text, parse coordinates. The password is left out."""
     first = text.title_case(F.col("name.firstname"))
     last = text.title_case(F.col("name.lastname"))
     street = text.squeezed_title_case(F.col("address.street"))
     return bronze.select(
-        "id",
+        (F.col("id") if id_type is None else F.col("id").try_cast(id_type)).alias("id"),
         text.lower_trimmed(F.col("email")).alias("email"),
         text.lower_trimmed(F.col("username")).alias("username"),
         text.phone_digits(F.col("phone")).alias("phone"),
@@ -140,6 +150,7 @@ def flat_users(bronze: DataFrame, as_of: AsOf = None) -> DataFrame:
         "file_origin",
         "ingestion_ts",
         audit_time(as_of).alias("processed_at"),
+        *carry,
     )
 
 
@@ -154,9 +165,11 @@ def user_rules() -> list[quality.Rule]:
     ]
 
 
-def users_checked(bronze: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Every user row, cleaned and flagged."""
-    flagged = flat_users(bronze, as_of).withColumns(
+def users_checked(
+    bronze: DataFrame, as_of: AsOf = None, id_type: str | None = None, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Every user row, cleaned and flagged. Without `id_type` the id keeps its type."""
+    flagged = flat_users(bronze, as_of, id_type, carry).withColumns(
         {
             "dq_email_invalid": predicates.mismatches(F.col("email"), predicates.EMAIL_PATTERN),
             "dq_zip_invalid": predicates.mismatches(F.col("zipcode"), predicates.ZIP_PATTERN),
@@ -167,10 +180,15 @@ def users_checked(bronze: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 
 def users(
-    bronze: DataFrame, as_of: AsOf = None, ties: Sequence[str] | None = None
+    bronze: DataFrame,
+    as_of: AsOf = None,
+    ties: Sequence[str] | None = None,
+    id_type: str | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The latest version of every user, cleaned and flagged."""
-    return users_checked(latest_versions(bronze, ties), as_of)
+    typed = bronze if id_type is None else with_typed_id(bronze, id_type)
+    return users_checked(latest_versions(typed, ties), as_of, id_type, carry)
 
 
 # ---------------------------------------------------------------- quarantine

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from layerforge.sources.scans import RAW_FILES
@@ -31,15 +31,17 @@ def write_raw(
     """
     if items.isEmpty():
         return False
+    landed = Observation()
     (
-        items.write.mode("overwrite")
+        items.observe(landed, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_lines)
         .option("ignoreNullFields", "false")
         .json(folder)
     )
     if validate:
-        validate_landing(items.sparkSession, folder)
+        validate_landing(items.sparkSession, folder, landed.get["rows"])
     return True
 
 
@@ -52,19 +54,24 @@ def _below(spark: SparkSession, fmt: str, path: str) -> DataFrame:
     )
 
 
-def file_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """`file_origin, n_bytes` of every raw file; the contents are not read.
+def _listed(files: DataFrame) -> DataFrame:
+    """Names of all files of a scan, empty ones too, as `file_origin`.
 
-    A scan leaves out files of zero length, so the names come from the listing
-    that Spark's file index holds already.
+    A scan leaves files of zero length out, so the names are those of the file
+    index. They stay in the JVM that holds it; none comes to Python.
     """
+    spark = files.sparkSession
+    names = Column(spark._jvm.org.apache.spark.sql.functions.lit(files._jdf.inputFiles()))
+    # The listing writes local paths as file:///, scans write file:/.
+    path = F.regexp_replace("name", "^file:/+", "file:/").alias("file_origin")
+    return spark.range(1).select(F.explode(names).alias("name")).select(path)
+
+
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """`file_origin, n_bytes` of every raw file; the contents are not read."""
     files = _below(spark, "binaryFile", path)
-    listed = spark.createDataFrame([(f,) for f in files.inputFiles()], "file string").select(
-        # The listing writes local paths as file:///, scans write file:/.
-        F.regexp_replace("file", "^file:/+", "file:/").alias("file_origin")
-    )
     sized = files.select(F.col("_metadata.file_path").alias("file_origin"), "length")
-    return listed.join(sized, "file_origin", "left").select(
+    return _listed(files).join(sized, "file_origin", "left").select(
         "file_origin", F.coalesce("length", F.lit(0)).alias("n_bytes")
     )
 
@@ -96,12 +103,18 @@ def bad_files(spark: SparkSession, path: str) -> DataFrame:
     return empty.unionByName(invalid)
 
 
-def validate_landing(spark: SparkSession, path: str) -> None:
-    """Raise `LandingError` when no file landed or any landed file is empty or invalid."""
-    if file_sizes(spark, path).isEmpty():
+def validate_landing(spark: SparkSession, path: str, rows: int | None = None) -> None:
+    """Raise `LandingError` when no file landed, a landed file is empty or invalid, or lines are missing.
+
+    `rows` is the number of rows that were written, where it is known.
+    """
+    files = _below(spark, "text", path)
+    if len(files._jdf.inputFiles()) == 0:
         raise LandingError(f"no landed file under {path}")
     first = bad_files(spark, path).orderBy("file_origin").limit(_LISTED + 1).collect()
     if first:
         named = "; ".join(f"{r['file_origin']} ({r['reason']})" for r in first[:_LISTED])
         more = " and more" if len(first) > _LISTED else ""
         raise LandingError(f"bad landed files: {named}{more}")
+    if rows is not None and (found := files.count()) != rows:
+        raise LandingError(f"{rows} rows were written under {path}, {found} lines are there")

@@ -31,6 +31,19 @@ def read_raw(spark: SparkSession, path: str | list[str], schema: T.StructType) -
     return files.select("*", F.col("_metadata.file_path").alias("file_origin"))
 
 
+def parsed_lines(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+    """Rows of NDJSON text held in a column, as permissive as `read_raw`; other columns stay."""
+    rest = [c for c in lines.columns if c != column]
+    return lines.select(*rest, F.from_json(column, schema).alias("__row")).select(*rest, "__row.*")
+
+
+def payload_rows(payloads: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+    """Rows of API responses held in a column: one per element of an array, one for an object."""
+    rest = [c for c in payloads.columns if c != column]
+    rows = F.from_json(column, T.ArrayType(schema))
+    return payloads.select(*rest, F.explode(rows).alias("__row")).select(*rest, "__row.*")
+
+
 def read_payload(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Whole API responses: one row per element of an array, one row for an object."""
     return spark.read.schema(schema).option("multiLine", "true").json(path)
@@ -46,7 +59,7 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def records_frame(
-    spark: SparkSession, entity: str, records: Iterable[Mapping[str, Any]]
+    spark: SparkSession, entity: str, records: Iterable[Mapping[str, Any]], id_type: str = "int"
 ) -> DataFrame:
     """In-memory records with the schema of their entity.
 
@@ -55,8 +68,7 @@ def records_frame(
     NULL, text where a struct is declared becomes a NULL struct.
     """
     lines = [(json.dumps(r, ensure_ascii=False),) for r in records]
-    parsed = F.from_json("line", entity_schema(entity))
-    return spark.createDataFrame(lines, "line string").select(parsed.alias("r")).select("r.*")
+    return parsed_lines(spark.createDataFrame(lines, "value string"), entity_schema(entity, id_type))
 
 
 def read_table(

@@ -4,45 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_ID, _TEXT, _NUMBER = T.IntegerType(), T.StringType(), T.DoubleType()
-
-
-def _struct(**fields: T.DataType) -> T.StructType:
-    return T.StructType([T.StructField(n, t, True) for n, t in fields.items()])
-
-
-PRODUCTS = _struct(
-    id=_ID,
-    title=_TEXT,
-    price=_NUMBER,
-    description=_TEXT,
-    category=_TEXT,
-    image=_TEXT,
-    rating=_struct(rate=_NUMBER, count=_ID),
-)
-
-USERS = _struct(
-    id=_ID,
-    email=_TEXT,
-    username=_TEXT,
-    password=_TEXT,
-    phone=_TEXT,
-    __v=_ID,
-    name=_struct(firstname=_TEXT, lastname=_TEXT),
-    address=_struct(
-        city=_TEXT,
-        street=_TEXT,
-        number=_ID,
-        zipcode=_TEXT,
-        geolocation=_struct(lat=_TEXT, long=_TEXT),
+# Fixed: the fields of each entity. `{id}` is the type of its identifier.
+FIELDS = {
+    "products": (
+        "id {id}, title string, price double, description string, category string, image string, "
+        "rating struct<rate: double, count: int>"
     ),
-)
+    "users": (
+        "id {id}, email string, username string, password string, phone string, __v int, "
+        "name struct<firstname: string, lastname: string>, "
+        "address struct<city: string, street: string, number: int, zipcode: string, "
+        "geolocation: struct<lat: string, long: string>>"
+    ),
+}
+ID_TYPES = ("int", "bigint", "string")
+
+
+def schema_ddl(entity: str, id_type: str = "int") -> str:
+    if entity not in FIELDS:
+        raise ValueError(f"unknown entity {entity!r}, expected one of {sorted(FIELDS)}")
+    if id_type not in ID_TYPES:
+        raise ValueError(f"unknown id type {id_type!r}, expected one of {ID_TYPES}")
+    return FIELDS[entity].format(id=id_type)
+
 
-ENTITIES = {"products": PRODUCTS, "users": USERS}
+def entity_schema(entity: str, id_type: str = "int") -> T.StructType:
+    """Schema of an entity. Ids that outgrow an int need `id_type="bigint"`: they would read as NULL."""
+    return T.StructType.fromDDL(schema_ddl(entity, id_type))
 
 
-def entity_schema(entity: str) -> T.StructType:
-    try:
-        return ENTITIES[entity]
-    except KeyError:
-        raise ValueError(f"unknown entity {entity!r}, expected one of {sorted(ENTITIES)}") from None
+def __getattr__(name: str) -> T.StructType:
+    """`PRODUCTS` and `USERS`: the schemas with int ids."""
+    if name in ("PRODUCTS", "USERS"):
+        return entity_schema(name.lower())
+    raise AttributeError(name)

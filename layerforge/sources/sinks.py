@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerforge.operators.contracts import enforce
@@ -53,6 +54,39 @@ def replace_slice(
     overwrite(df.drop(column), f"{path.rstrip('/')}/{column}={value}", fmt, partition_by)
 
 
+def publish_slice(
+    df: DataFrame, table: str, path: str, column: str, value: str, fmt: str = "parquet"
+) -> DataFrame:
+    """Replace one slice of a table that is partitioned by `column` alone, at once for its readers.
+
+    The rows go to a new folder, and then the catalog's entry of this partition
+    points there. A job that fails half-way, or whose executors are lost, leaves the old
+    slice as it was, and no other partition is listed. Old folders stay until
+    you remove them. Read such a table by its name.
+    """
+    spark = df.sparkSession
+    if not re.fullmatch(r"[\w.\-]+", value):
+        raise ValueError(f"{value!r} is not a plain partition value")
+    rows = df.drop(column)
+    location = f"{path.rstrip('/')}/{column}={value}/v-{uuid.uuid4().hex}"
+    overwrite(rows, location, fmt)
+    schema = T.StructType([*rows.schema.fields, T.StructField(column, T.StringType())])
+    create(spark, table, path, schema, fmt, (column,))
+    where = f"PARTITION (`{column}` = '{value}')"
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {where} LOCATION '{_quoted(location)}'")
+    spark.sql(f"ALTER TABLE {table} {where} SET LOCATION '{_quoted(location)}'")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
+def slices(spark: SparkSession, table: str, column: str) -> DataFrame:
+    """`value`: the slices of a table, from the catalog; no file is opened. Empty when there is no table."""
+    if not spark.catalog.tableExists(table):
+        return spark.createDataFrame([], "value string")
+    name = F.regexp_extract("partition", f"(?:^|/){column}=([^/]+)", 1)
+    return spark.sql(f"SHOW PARTITIONS {table}").select(name.alias("value"))
+
+
 def save_to_parquet(
     entity: str, data: Iterable[Mapping[str, Any]], path: str, spark: SparkSession
 ) -> None:
@@ -83,14 +117,29 @@ def register(
     The schema is stated, so registration reads no file and partition values
     keep their declared type.
     """
+    create(spark, table, path, schema, fmt, partition_by)
+    refresh(spark, table, partitioned=bool(partition_by))
+
+
+def _quoted(path: str) -> str:
+    return path.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def create(
+    spark: SparkSession,
+    table: str,
+    path: str,
+    schema: T.StructType,
+    fmt: str = "parquet",
+    partition_by: Sequence[str] = (),
+) -> None:
+    """Create an external table over `path` unless it exists, and append the columns it lacks."""
     parts = f"PARTITIONED BY ({', '.join(f'`{p}`' for p in partition_by)})" if partition_by else ""
-    quoted = path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({_columns_ddl(schema)}) "
-        f"USING {fmt} {parts} LOCATION '{quoted}'"
+        f"USING {fmt} {parts} LOCATION '{_quoted(path)}'"
     )
     add_columns(spark, table, schema)
-    refresh(spark, table, partitioned=bool(partition_by))
 
 
 def add_columns(spark: SparkSession, table: str, schema: T.StructType) -> list[str]:
@@ -132,11 +181,30 @@ def publish(
     overwrite(df, location, fmt, partition_by)
     if contracts is not None:
         enforce(contracts(spark.read.format(fmt).schema(schema).load(location)))
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    register(spark, table, location, schema, fmt, partition_by)
+    if partition_by or not _switched(spark, table, location, schema):
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        register(spark, table, location, schema, fmt, partition_by)
     return spark.table(table)
 
 
+def _switched(spark: SparkSession, table: str, location: str, schema: T.StructType) -> bool:
+    """Point an existing table at a new folder, in one step for its readers.
+
+    False when there is no table, or when its columns are not among the new ones:
+    the table then has to be made anew. A partitioned table has a location
+    per partition and is made anew as well.
+    """
+    if not spark.catalog.tableExists(table):
+        return False
+    known = {f.name: f.dataType for f in spark.table(table).schema.fields}
+    if any(n not in schema.names or schema[n].dataType != t for n, t in known.items()):
+        return False
+    add_columns(spark, table, schema)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_quoted(location)}'")
+    spark.catalog.refreshTable(table)
+    return True
+
+
 def view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

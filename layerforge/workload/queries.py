@@ -10,13 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerforge.functions import numeric, predicates, text
 from layerforge.functions.keys import surrogate_key
 from layerforge.operators import chunks, contracts, merge, quality, running
 from layerforge.operators.dedup import latest_per_key, newest_first
 from layerforge.plans import bronze, gold, silver
-from layerforge.sources import landing
+from layerforge.sources import landing, scans, schemas
 from layerforge.workload import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,11 +40,6 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest_products(roles.products(spark, sf_dir))
 
 
-def _categories(products: DataFrame) -> DataFrame:
-    """The taxonomy is a literal map, so there are at most its values and `unknown`."""
-    return F.broadcast(gold.dim_category(products, roles.as_of()))
-
-
 def _latest_users(raw: DataFrame) -> DataFrame:
     return silver.users(raw, roles.as_of(), TIES)
 
@@ -94,12 +90,15 @@ def category_taxonomy_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_taxonomy_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with an external mapping table, here derived from the parts' own types."""
+    """The same with an external mapping table, here of the parts' own types; some have two rows."""
     types = roles.table(spark, sf_dir, "part").select(F.lower("p_type").alias("t")).distinct()
     mapping = types.where(F.col("t") != "promo").select(
         F.col("t").alias("category_raw"), F.concat(F.lit("cat_"), "t").alias("category")
     )
-    return quality.with_category_table(_raw_categories(spark, sf_dir), "category_raw", mapping)
+    twice = mapping.where("length(category_raw) > 5").withColumn("category", F.concat("category", F.lit("_x")))
+    return quality.with_category_table(
+        _raw_categories(spark, sf_dir), "category_raw", mapping.unionByName(twice)
+    )
 
 
 def safe_double_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,10 +152,14 @@ def dim_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.dim_product(_products(spark, sf_dir), as_of=roles.as_of(), unique=True)
+
+
+def dim_product_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a category dimension from elsewhere, here made of the raw categories."""
     products = _products(spark, sf_dir)
-    return gold.dim_product(
-        products, _categories(products), roles.as_of(), unique=True
-    )
+    given = gold.dim_category(_checked_products(roles.products(spark, sf_dir)), roles.as_of())
+    return gold.dim_product(products, given, roles.as_of(), unique=True)
 
 
 def dim_city(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,24 +167,34 @@ def dim_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = _users(spark, sf_dir)
-    return gold.dim_user(users, gold.dim_city(users, roles.as_of()), roles.as_of(), unique=True)
+    return gold.dim_user(_users(spark, sf_dir), as_of=roles.as_of(), unique=True)
+
+
+def _all_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A city dimension from elsewhere: of every version of every user."""
+    return gold.dim_city(silver.users_checked(roles.users(spark, sf_dir), roles.as_of()), roles.as_of())
+
+
+def dim_user_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    users, cities = _users(spark, sf_dir), _all_cities(spark, sf_dir)
+    return gold.dim_user(users, cities, roles.as_of(), unique=True)
 
 
 def user_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    users = _users(spark, sf_dir)
-    cities = gold.dim_city(users, roles.as_of())
-    return gold.user_directory(gold.dim_user(users, cities, roles.as_of(), unique=True), cities)
+    return gold.user_directory(_users(spark, sf_dir), as_of=roles.as_of())
+
+
+def user_directory_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.user_directory(dim_user_by_join(spark, sf_dir), _all_cities(spark, sf_dir))
 
 
 def surrogate_key_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of int, bigint and two-column ids; equal numbers of other types differ."""
     part = roles.table(spark, sf_dir, "part")
-    small = (F.col("p_partkey") % 1_000_000_007).cast("int")
     return part.select(
         "p_partkey",
-        surrogate_key(small).alias("int_key"),
-        surrogate_key(-small).alias("negative_key"),
+        surrogate_key(F.col("p_size")).alias("int_key"),
+        surrogate_key(-F.col("p_size")).alias("negative_key"),
         surrogate_key(F.col("p_partkey")).alias("bigint_key"),
         surrogate_key(F.col("p_brand"), F.col("p_type")).alias("text_pair_key"),
     )
@@ -214,19 +227,29 @@ def latest_dt_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    products = _products(spark, sf_dir)
-    categories = _categories(products)
-    return gold.product_catalog(
-        gold.dim_product(products, categories, roles.as_of(), unique=True),
-        categories,
-        _fact(spark, sf_dir),
-    ).withColumn("rating_bayes_score", F.round("rating_bayes_score", 6))
+    catalog = gold.product_catalog(_products(spark, sf_dir), None, _fact(spark, sf_dir))
+    return catalog.withColumn("rating_bayes_score", F.round("rating_bayes_score", 6))
 
 
 def product_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _catalog(spark, sf_dir)
 
 
+def product_catalog_by_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain of joins over a product and a category dimension."""
+    given = gold.dim_category(_checked_products(roles.products(spark, sf_dir)), roles.as_of())
+    catalog = gold.product_catalog(dim_product_by_join(spark, sf_dir), given, _fact(spark, sf_dir))
+    return catalog.withColumn("rating_bayes_score", F.round("rating_bayes_score", 6))
+
+
+def value_change_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Change of an event's value since the user's event before; the first counts in full."""
+    order = F.struct("ts", "event_id")
+    events = roles.table(spark, sf_dir, "events").withColumn("at", order)
+    before = running.previous_value("value", "user_id", "at")
+    return events.select("event_id", "user_id", F.round(running.increment(F.col("value"), before), 6).alias("change"))
+
+
 def product_catalog_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.newest_in_catalog(_catalog(spark, sf_dir), 20)
 
@@ -273,9 +296,7 @@ def accepted_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dim_user_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users with half an address find their city too."""
-    users = _users(spark, sf_dir)
-    cities = gold.dim_city(users, roles.as_of())
-    dim = gold.dim_user(users, cities, roles.as_of(), unique=True, null_safe=True)
+    dim = gold.dim_user(_users(spark, sf_dir), as_of=roles.as_of(), unique=True, null_safe=True)
     return dim.select("user_id", "city_key")
 
 
@@ -287,14 +308,19 @@ def latest_fact_per_product(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_scd1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First versions as the target, all later versions as updates."""
+    """Second versions, or else first ones, as the target, all others as updates: newer, older and without a time."""
     keyed = roles.products(spark, sf_dir).where(F.col("id").isNotNull())
     flat = keyed.select(
         "id", F.trim("title").alias("title"), numeric.cents(F.col("price")).alias("price"),
         "ingestion_ts", "version",
     )
+    held = F.when(F.col("id") % 3 == 0, 1).otherwise(2)
     return merge.upsert(
-        flat.where("version = 1"), flat.where("version > 1"), "id", newest_first("ingestion_ts"), TIES
+        flat.where(F.col("version") == held),
+        flat.where(F.col("version") != held),
+        "id",
+        newest_first("ingestion_ts"),
+        TIES,
     )
 
 
@@ -313,6 +339,49 @@ def raw_chunk_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.chunk_numbers(orders, ["batch"], "o_orderkey", CHUNK_ROWS)
 
 
+def raw_chunk_assignment_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks by a sparse 64-bit key."""
+    orders = roles.table(spark, sf_dir, "orders").select(
+        F.trunc(F.to_date("o_orderdate"), "year").alias("batch"),
+        (F.col("o_orderkey") * 1_000_000_007).alias("order_no"),
+    )
+    return chunks.chunk_numbers(orders, ["batch"], "order_no", CHUNK_ROWS)
+
+
+def bronze_products_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NDJSON lines with integer prices, text ids, a text where a struct belongs, and broken lines, typed."""
+    lines = roles.product_lines(spark, sf_dir)
+    return scans.parsed_lines(lines, schemas.entity_schema("products", "bigint")).select(
+        "k", "id", "title", "price", "category", "rating.rate", "rating.count"
+    )
+
+
+def bronze_users_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = roles.user_lines(spark, sf_dir)
+    return scans.parsed_lines(lines, schemas.entity_schema("users", "bigint")).select(
+        "k", "id", "email", "__v", "name.firstname", "address.number", "address.geolocation.lat"
+    )
+
+
+def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API responses: arrays of the regions' nations, and single objects."""
+    rows = scans.payload_rows(
+        roles.nation_payloads(spark, sf_dir), T.StructType.fromDDL("id int, name string"), "body"
+    )
+    return rows.select("region", "kind", "id", "name")
+
+
+def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by the file they were read from."""
+    parts = [
+        roles.table(spark, sf_dir, t).select(F.col("_metadata.file_name").alias("file_name"), F.lit(t).alias("source"))
+        for t in ("part", "customer", "supplier")
+    ]
+    files = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    by_file = files.groupBy("source", "file_name").agg(F.count(F.lit(1)).alias("n"))
+    return by_file.groupBy("source").agg(F.sum("n").alias("n_rows"), F.count_if(F.col("file_name") == "").alias("n_unnamed"))
+
+
 def ndjson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the products, read back field by field."""
     fields = ["id", "title", "price", "description", "category", "image", "rating"]
@@ -365,14 +434,19 @@ def queries() -> dict[str, Query]:
         dedup_latest,
         dim_category,
         dim_product,
+        dim_product_by_join,
         dim_city,
         dim_user,
+        dim_user_by_join,
         user_directory,
+        user_directory_by_join,
         surrogate_key_int,
         global_rating_mean,
         fact_product_metrics_daily,
         latest_dt_per_product,
         product_catalog,
+        product_catalog_by_join,
+        value_change_per_user,
         product_catalog_top20,
         latest_fact_per_product,
         bronze_one_per_id,
@@ -382,6 +456,11 @@ def queries() -> dict[str, Query]:
         upsert_scd1,
         schema_evolution_union,
         raw_chunk_assignment,
+        raw_chunk_assignment_sparse,
+        bronze_products_typed,
+        bronze_users_typed,
+        payload_rows,
+        source_lineage,
         ndjson_lines,
         json_line_validation,
         flat_relational_products,

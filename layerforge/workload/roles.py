@@ -64,7 +64,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze users: one or two versions of every customer."""
     versions = (
         table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .selectExpr(
             "*",
             "c_custkey AS k",
@@ -103,7 +103,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CASE WHEN l_linenumber % 2 = 0 THEN l_shipdate END AS processed_at",
         "l_shipdate AS ingestion_ts",
         "l_orderkey AS order_no",
-        "double(bigint(l_extendedprice)) AS price",
+        "l_extendedprice AS price",
         "CASE WHEN l_linenumber <> 7 THEN l_discount * 50 END AS rating_rate",
         "CASE WHEN l_tax > 0 THEN int(l_quantity) END AS rating_count",
     )
@@ -112,12 +112,15 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rating_order() -> Column:
     """Line items have no time of day, and their order and line numbers repeat.
 
-    The closing row of a day has the largest order number, price and rate, packed
-    into one bigint: 39, 20 and 4 bits. Rows that tie have equal closing values.
+    The closing row of a day has the largest order number, price and rate, in one
+    number of 38 digits: any bigint, then prices below 10^11 in cents, of either
+    sign, then tenths of a rate. A larger value raises an overflow. Rows that tie
+    have equal closing values.
     """
     return F.expr(
-        "shiftleft(order_no, 24) | shiftleft(bigint(price), 4)"
-        " | coalesce(int(rating_rate * 2 + 0.5D) + 1, 0)"
+        "CAST(order_no AS DECIMAL(20,0)) * CAST(10000000000000000 AS DECIMAL(17,0))"
+        " + CAST(CAST(round(price * 100) AS DECIMAL(13,0)) * 100"
+        " + coalesce(int(round(rating_rate * 10)) + 1, 0) AS DECIMAL(17,0))"
     )
 
 
@@ -128,3 +131,41 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         " ELSE props END AS value",
         "concat_ws('-', event_type, string(event_id % 2)) AS file_origin",
     )
+
+
+def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NDJSON text of the parts (`k, value`), good and bad by the part's key."""
+    good = (
+        "to_json(named_struct('id', p_partkey + 3000000000, 'title', p_name, 'price', p_size,"
+        " 'category', p_type, 'rating', named_struct('rate', p_size / 8.0D, 'count', p_size)))"
+    )
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey AS k",
+        f"CASE WHEN p_partkey % 13 = 0 THEN substring({good}, 1, 20)"
+        f" WHEN p_partkey % 11 = 0 THEN replace({good}, '\"id\":', '\"id\":\"x\",\"other\":')"
+        " WHEN p_partkey % 7 = 0 THEN concat('{\"id\":', p_partkey, ',\"rating\":\"none\"}')"
+        f" ELSE {good} END AS value",
+    )
+
+
+def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NDJSON text of the customers (`k, value`); some names are a text instead of a struct."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS k",
+        "CASE WHEN c_custkey % 9 = 0 THEN concat('{\"id\":', c_custkey, ',\"name\":\"John\",\"email\":\"j@e.com\"}')"
+        " WHEN c_custkey % 10 = 0 THEN '{broken'"
+        " ELSE to_json(named_struct('id', c_custkey, 'email', lower(c_name), '__v', c_nationkey,"
+        " 'name', named_struct('firstname', c_mktsegment), 'address', named_struct('number', c_nationkey,"
+        " 'geolocation', named_struct('lat', string(c_nationkey))))) END AS value",
+    )
+
+
+def nation_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses (`region, kind, body`): an array of nations per region, an object per nation."""
+    item = "named_struct('id', n_nationkey, 'name', n_name)"
+    nations = table(spark, sf_dir, "nation")
+    arrays = nations.groupBy(F.col("n_regionkey").alias("region")).agg(
+        F.to_json(F.collect_list(F.expr(item))).alias("body")
+    )
+    objects = nations.selectExpr("n_regionkey AS region", f"to_json({item}) AS body")
+    return arrays.withColumn("kind", F.lit("array")).unionByName(objects.withColumn("kind", F.lit("object")))

@@ -7,7 +7,9 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry_points
+import __spark_entry__ as driver_entry
+from layerforge.workload import oracle as entry_sql
+from layerforge.workload import queries as entry_points
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -52,13 +54,13 @@ def bag(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    assert set(entry_points.queries()) == set(entry_sql.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(entry_points.queries()))
 def test_matches_sql(name, spark, sf_dir, db):
     df = entry_points.queries()[name](spark, sf_dir)
-    relation = db.sql(entry_points.oracle_sql()[name])
+    relation = db.sql(entry_sql.oracle_sql()[name])
     expected_types = {c: FAMILIES[str(t)] for c, t in zip(relation.columns, relation.types)}
     assert dict(df.dtypes) == expected_types
     mine = bag(df.collect(), df.columns)
@@ -102,4 +104,4 @@ def test_matches_sql_when_no_side_is_small_and_keys_are_split(name, spark, sf_di
 def test_entry(spark):
     if not os.path.isdir("/root/testdata/sf0.001"):
         pytest.skip("benchmark tables are not here")
-    assert entry_points.entry(spark).count() > 0
+    assert driver_entry.entry(spark).count() > 0
