@@ -116,6 +116,34 @@ def _card(value: Column, key: Column, inverse: bool) -> Column:
     return F.when((luhn_sum(digits) % 10 == 0) & (digits.rlike("[1-9]")), _put_back(value, made, "[0-9]"))
 
 
+def mod97(text: Column) -> Column:
+    """Remainder of a text of digits and letters (a is 10, z is 35) read as one number."""
+    return F.aggregate(
+        _numbers(F.lower(text)),
+        F.lit(0).cast("bigint"),
+        lambda a, x: (a * F.when(x < 10, 10).otherwise(100) + x) % 97,
+    )
+
+
+def _account(value: Column, key: Column, inverse: bool) -> Column:
+    """International account numbers: country and length stay, letters stay letters, check digits are made anew."""
+    compact = F.replace(value, F.lit(" "), F.lit(""))
+    country, body = F.substr(compact, F.lit(1), F.lit(2)), F.lower(F.substr(compact, F.lit(5)))
+    numbers = _numbers(body)
+    radices = F.transform(numbers, lambda x: F.when(x < 10, F.lit(10)).otherwise(26).cast("bigint"))
+    low = F.transform(numbers, lambda x: F.when(x < 10, F.lit(0)).otherwise(10).cast("bigint"))
+    made = let(
+        permuted(F.zip_with(numbers, low, lambda x, m: x - m), radices, key, inverse),
+        lambda d: F.upper(_text(F.zip_with(d, low, lambda x, m: x + m))),
+    )
+    whole = let(
+        made,
+        lambda b: F.concat(country, F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b),
+    )
+    valid = mod97(F.concat(F.substr(compact, F.lit(5)), F.substr(compact, F.lit(1), F.lit(4)))) == 1
+    return F.when(valid, _put_back(value, whole, "[0-9A-Z]"))
+
+
 def _address(value: Column, key: Column, inverse: bool) -> Column:
     octets = F.transform(F.split(value, r"\."), lambda x: x.cast("bigint"))
     digits = F.flatten(F.transform(octets, lambda x: F.array(F.floor(x / 16), x % 16)))
@@ -191,6 +219,11 @@ class Kind:
 
 KINDS = (
     Kind("mail", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}", _mail),
+    Kind(
+        "account",
+        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+        _account,
+    ),
     Kind("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])", _card),
     Kind("phone", r"(?<![0-9])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[.-][0-9]{4}(?![0-9])", _phone),
     Kind("social", r"(?<![0-9])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9])", _social),
