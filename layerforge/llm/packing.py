@@ -169,7 +169,6 @@ def _open_batch(windows: list[_Window], group: int) -> pa.RecordBatch:
     )
 
 
-_OPEN = "task long, doc_id long, row long, start long, doc_tokens long, ids binary"
 
 
 def _packed(path: str, window: int, spaces: int, end_id: int):
