@@ -33,8 +33,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every long enough line with the first line of its class, which is the one that stays."""
-    found = line_dedup.line_classes(_table(spark, sf_dir, "documents"))
+    """Every line that has a word, with the first line of its class, which is the one that stays."""
+    found = line_dedup.line_classes(_table(spark, sf_dir, "documents"), min_words=1, min_chars=1)
     kept = (F.col("doc_id") == F.col("first_doc_id")) & (F.col("line") == F.col("first_line"))
     return found.select("doc_id", "line", "first_doc_id", "first_line", kept.alias("kept"))
 
