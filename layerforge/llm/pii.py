@@ -6,7 +6,7 @@ one, and the same in all documents, so equal values stay linked and a pseudonym
 passes the check its value passed. Text around the values is left as it is.
 
 A value is a list of digits with a radix each (10 for decimal digits, 16 for hex,
-8 for a digit that runs from 2 to 9, 36 for letters and digits). A Feistel round
+36 for letters and digits). A Feistel round
 adds a keyed hash of one half to the other half, digit by digit modulo its
 radix, which is invertible for any mix of radices. All steps are Column functions.
 """
@@ -156,16 +156,19 @@ def _address(value: Column, key: Column, inverse: bool) -> Column:
 
 
 def _phone(value: Column, key: Column, inverse: bool) -> Column:
-    """North American numbers: area and exchange codes begin with 2 to 9."""
-    digits = _numbers(F.substr(F.regexp_replace(value, "[^0-9]", ""), F.lit(-10)))
-    low = F.array(*[F.lit(2 if k in (0, 3) else 0).cast("bigint") for k in range(10)])
-    radices = F.array(*[F.lit(8 if k in (0, 3) else 10).cast("bigint") for k in range(10)])
-    shifted = F.zip_with(digits, low, lambda d, m: d - m)
-    made = let(
-        permuted(shifted, radices, key, inverse), lambda d: _text(F.zip_with(d, low, lambda x, m: x + m))
-    )
-    prefix = F.regexp_extract(value, r"^(\+?1[ .-]?)?", 0)
-    return F.concat(prefix, _put_back(F.substr(value, F.length(prefix) + 1), made, "[0-9]"))
+    """Numbers of area, exchange and line, of any digits; a country code 1 before them stays."""
+    prefix = F.regexp_extract(value, r"^(.*?)\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-][0-9]{4}$", 1)
+    return F.concat(prefix, _permuted_digits(F.substr(value, F.length(prefix) + 1), key, inverse))
+
+
+def _permuted_digits(value: Column, key: Column, inverse: bool) -> Column:
+    return _put_back(value, _mixed(key, F.regexp_replace(value, "[^0-9]", ""), 10, inverse), "[0-9]")
+
+
+def _international(value: Column, key: Column, inverse: bool) -> Column:
+    """A country code that is set off stays; of a number without separators the first digit stays."""
+    prefix = F.regexp_extract(value, r"^\+(?:[0-9]{1,3}(?=[ .(-])|[0-9])", 0)
+    return F.concat(prefix, _permuted_digits(F.substr(value, F.length(prefix) + 1), key, inverse))
 
 
 def _social(value: Column, key: Column, inverse: bool) -> Column:
@@ -224,8 +227,14 @@ KINDS = (
         r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
         _account,
     ),
-    Kind("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9])", _card),
-    Kind("phone", r"(?<![0-9])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[.-])[2-9][0-9]{2}[.-][0-9]{4}(?![0-9])", _phone),
+    Kind("card", r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![0-9])", _card),
+    Kind("phone", r"(?<![0-9])(?:\+?1[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])", _phone),
+    # What kind a number is depends on its shape alone, so both kinds of phone numbers stay one to one.
+    Kind(
+        "international",
+        r"(?<![0-9A-Za-z])\+[1-9](?:[ .-]?[0-9]|[ .-]?\([0-9]{1,5}\)(?=[ .-]?[0-9])){6,14}(?![0-9])",
+        _international,
+    ),
     Kind("social", r"(?<![0-9])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9])", _social),
     Kind("address", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])", _address),
     Kind("date", r"(?<![0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9])", _date("yyyy-MM-dd")),

@@ -124,6 +124,22 @@ def test_invalid_values_and_odd_rows_stay(spark):
     assert first[0] == first[1] == second[0] != first[2]
 
 
+def test_phone_numbers_of_any_area_and_other_countries(spark):
+    kinds = {
+        "phone": ["(017) 555-7713", "(132) 555-1352", "091.555.3384", "123-055-1234", "212 555 0199", "1-212-155-0199"],
+        "international": ["+49 30 1234567", "+442079460958", "+33 1 42 68 53 00", "+44 (20) 7946 0958"],
+        "card": ["3782 822463 10005", "3056-930902-5904"],
+    }
+    values = [(kind, v) for kind, own in kinds.items() for v in own]
+    made = pii.pseudonymised(texts(spark, [v for _, v in values]), "key").cache()
+    for r, (kind, v) in zip(made.orderBy("doc_id").collect(), values, strict=True):
+        new = r["text"].removeprefix("before ").removesuffix(" after")
+        assert dict(r["pii"]) == {kind: 1} and new != v and re.sub(r"\d", "9", new) == re.sub(r"\d", "9", v)
+        assert kind != "card" or luhn(new)
+    again = pii.pseudonymised(made.select("doc_id", "text"), "key", inverse=True)
+    assert [r["text"] for r in again.orderBy("doc_id").collect()] == [f"before {v} after" for _, v in values]
+
+
 # ---------------------------------------------------------------------- rules
 
 
