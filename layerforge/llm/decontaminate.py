@@ -6,7 +6,9 @@ overlapping, so an item that occurs lies inside one window, and the Jaccard
 similarity of item and window is bounded from below whatever the length of the
 document: 0.8 of the item's shingles give 0.19 at least. A window is a candidate
 for an item when one of 64 MinHash values agrees, which a true case misses with
-a probability of about one in a million. Candidates are verified by exact
+a probability of about one in a million. Items of up to four shingles, or with most
+of them repeated, would have less in common with a window: each of their shingles is
+looked up instead, and none is missed. Candidates are verified by exact
 containment: |item & document| / |item| over distinct shingles of the whole text.
 
 Values that no item has are dropped where they arise, by a bit table of fixed size;
@@ -31,6 +33,7 @@ HASHES = 64
 _U = np.uint64
 _FACTORS = w.mixed(np.arange(1, HASHES + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15)) | _U(1)
 _LABELS = w.mixed(np.arange(1, HASHES + 1, dtype=np.uint64) ^ _U(0xD6E8FEB86659FD93))
+FEW = 4  # items of so many shingles are sought by each of them
 SHORTEST = 3  # the smallest partition holds items of up to 2 ** SHORTEST shingles
 
 
@@ -57,8 +60,8 @@ def _item_rows(width: int):
                 for s, n in zip(sets, counts.tolist(), strict=True):
                     if n == 0:
                         own, c, m = np.zeros(0, np.uint64), 0, 0
-                    elif n < width:
-                        own, c, m = w.mixed(s), 0, n
+                    elif len(s) <= FEW or 2 * len(s) < n - width + 1:
+                        own, c, m = w.mixed(s), 0, min(n, width)
                     else:
                         c, m = _class_of(n - width + 1), width
                         own = np.array([_keys((s * _FACTORS[k]).min(keepdims=True), k, c)[0] for k in range(HASHES)])
@@ -124,7 +127,7 @@ def _document_rows(width: int, classes: list[int], short: list[int], table):
                 if classes:
                     rows, keys = _window_keys(flat, ends, classes, table.value)
                 extra: dict[int, list[np.ndarray]] = {}
-                for m in short:  # items of fewer words than a shingle are sought as they are
+                for m in short:  # items of few shingles are sought by each of them
                     grams, to = w.all_shingles(found, before, m)
                     hit = np.flatnonzero(bit_tables.known(table.value, w.mixed(grams)))
                     where = np.searchsorted(to, hit, side="right") - 1
@@ -174,8 +177,8 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = 5, percent: int = 80)
     )
     # A few small numbers: which partitions and which short lengths there are.
     shape = items.agg(
-        F.sort_array(F.collect_set(F.when(F.col("words") == width, F.col("size_class")))).alias("classes"),
-        F.sort_array(F.collect_set(F.when((F.col("words") > 0) & (F.col("words") < width), F.col("words")))).alias("short"),
+        F.sort_array(F.collect_set(F.when(F.col("size_class") > 0, F.col("size_class")))).alias("classes"),
+        F.sort_array(F.collect_set(F.when((F.col("size_class") == 0) & (F.col("words") > 0), F.col("words")))).alias("short"),
     ).first()
     keys = items.select("item", F.explode("keys").alias("key"))
     table = spark.sparkContext.broadcast(bit_tables.table_of(keys))

@@ -57,3 +57,11 @@ def test_odd_rows(spark):
     assert sorted((r["doc_id"] for r in clean.collect()), key=repr) == sorted([1, 2, 3, 4, 8, None], key=repr)
     assert decontaminate.leaks(empty(spark), benchmark).count() == 0
     assert decontaminate.leaks(odd(spark), benchmark.limit(0)).count() == 0
+
+
+def test_items_of_few_shingles_are_never_missed(spark):
+    rng = random.Random(3)
+    docs = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(60)) for _ in range(1500)]
+    benchmark = [" ".join(d.split(" ")[: 5 + k % 4]) for k, d in enumerate(docs)]
+    found = decontaminate.leaks(frame(spark, docs), items(spark, benchmark))
+    assert rows(found, "doc_id", "item_id") == sorted([(k, k) for k in range(1500)], key=repr)
