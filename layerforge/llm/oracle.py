@@ -146,3 +146,89 @@ FROM item JOIN doc USING (g) JOIN size ON size.r = item.r
 GROUP BY item.r, doc.r, item.id, doc.id
 HAVING 100 * count(*) >= 80 * any_value(size.n)
 """
+
+
+DIVERGENCE = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), o AS (
+    SELECT lang, source, r, unnest(w) AS term FROM d
+), k AS (
+    SELECT lang, term, count(*) AS n FROM o GROUP BY 1, 2 HAVING count(DISTINCT r) >= 10
+), v AS (
+    SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY 1
+), g AS (
+    SELECT DISTINCT lang, source FROM d
+), c AS (
+    SELECT lang, source, term, count(*) AS n FROM o GROUP BY 1, 2, 3
+), e AS (
+    SELECT g.lang, g.source, k.term, k.n AS n_lang, coalesce(c.n, 0) AS n
+    FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), s AS (
+    SELECT lang, source, sum(n) AS n FROM e GROUP BY 1, 2
+), p AS (
+    SELECT e.lang, e.source, e.term, e.n,
+           1 + (1000000000::HUGEINT * (e.n + 2)) // (s.n + 2 * v.v) AS p,
+           1 + (1000000000::HUGEINT * (e.n_lang + 2)) // (v.n + 2 * v.v) AS q
+    FROM e JOIN s ON s.lang = e.lang AND s.source = e.source JOIN v ON v.lang = e.lang
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // (x.p + y.p)), 0) AS value
+    FROM g a JOIN g b ON b.lang = a.lang AND b.source <> a.source
+         LEFT JOIN p x ON x.lang = a.lang AND x.source = a.source
+         LEFT JOIN p y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+    GROUP BY 1, 2, 3
+), terms AS (
+    SELECT lang, source, term AS item, (p - q) * (p - q) // (p + q) AS value FROM p WHERE n > 0 AND p > q
+), ranked AS (
+    SELECT lang, source, 'pair' AS part, item, value,
+           row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, value, rank
+    FROM (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM terms)
+    WHERE rank <= 10
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
+"""
+
+
+# The lambdas compute the CRC-32 of a decimal number, a byte and then a bit at a time.
+TRIE = r"""
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+    SELECT conv_id AS c, list({'r': role, 'x': text}
+               ORDER BY turn NULLS FIRST, sha256(concat(length(role), ':', role, text))) AS own
+    FROM t GROUP BY 1
+), h AS (
+    SELECT c, own, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+        lambda crc, byte: list_reduce(
+            list_prepend(xor(crc, byte), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+            lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END))) % 6 AS h
+    FROM o
+), s AS (
+    SELECT a.c, list_concat(list_slice(coalesce(b.own, []), 1, a.h), list_slice(a.own, a.h + 1, len(a.own))) AS seq
+    FROM h a LEFT JOIN o b ON b.c = a.c - a.c % 100
+), k AS (
+    SELECT c, d, list_slice(seq, 1, d) AS node, CASE WHEN d > 0 THEN length(seq[d].x) ELSE 0 END AS size, d = len(seq) AS stops
+    FROM (SELECT c, seq, unnest(generate_series(0, len(seq))) AS d FROM s)
+), n AS (
+    SELECT node, d, min(c) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+           sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (stops), '')) AS ends_sha256
+    FROM k GROUP BY 1, 2
+), kids AS (
+    SELECT list_slice(node, 1, d - 1) AS node, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1
+), f AS (
+    SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids ON kids.node = n.node
+), sub AS (
+    SELECT list_slice(node, 1, j) AS node, sum((n_convs - 1) * size) AS saved, sum((n_children = 0)::BIGINT) AS leaves
+    FROM (SELECT *, unnest(generate_series(0, d)) AS j FROM f) GROUP BY 1
+)
+SELECT f.conv_id, f.d::BIGINT AS depth, up.conv_id AS parent_conv_id, f.n_convs::BIGINT AS n_convs,
+       f.n_children::BIGINT AS n_children, leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, f.ends_sha256
+FROM f JOIN sub ON sub.node = f.node LEFT JOIN n up ON f.d > 0 AND up.node = list_slice(f.node, 1, f.d - 1)
+"""

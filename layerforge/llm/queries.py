@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 from layerforge.llm import (
     chat,
     decontaminate,
+    divergence,
     license_scan,
     line_dedup,
+    neighbours,
     ngram_join,
     oracle,
     packing,
     pii,
+    prefix_trie,
     quality_model,
     quality_rules,
     toxicity,
@@ -104,6 +107,19 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.scored(docs, model, keep=("doc_id",))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = neighbours.usable(_table(spark, sf_dir, "embeddings"))
+    return neighbours.search(vectors, vectors.where("id % 100 = 0"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 def queries() -> dict[str, Query]:
     listed = [
         op1_license_scan,
@@ -116,6 +132,9 @@ def queries() -> dict[str, Query]:
         op8_chat_formatting,
         op9_toxicity,
         op10_quality_classifier,
+        op11_source_divergence,
+        op12_nearest_neighbours,
+        op13_conversation_trie,
     ]
     return {q.__name__: q for q in listed}
 
@@ -127,4 +146,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_benchmark_decontamination": oracle.LEAKS,
         "op7_quality_rules": oracle.QUALITY,
         "op8_chat_formatting": oracle.CHAT,
+        "op11_source_divergence": oracle.DIVERGENCE,
+        "op13_conversation_trie": oracle.TRIE,
     }

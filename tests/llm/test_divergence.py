@@ -1,0 +1,109 @@
+"""Word divergence against a plain count, galloping, exact shares, and odd tables."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import llm_cases as cases
+import numpy as np
+
+from layerforge.llm import divergence
+
+WORD = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(docs, min_docs, top):
+    counts, in_docs, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for text, lang, source in docs:
+        text, lang, source = text or "", lang or "", source or ""
+        groups.add((lang, source))
+        found = WORD.findall(text.translate(LOWER))
+        counts[lang, source].update(found)
+        in_docs[lang].update(set(found))
+    out = []
+    for lang in {g[0] for g in groups}:
+        kept = [t for t, c in in_docs[lang].items() if c >= min_docs]
+        sources = [s for a, s in groups if a == lang]
+
+        def shares(c, kept=kept):
+            whole = sum(c[t] for t in kept) + 2 * len(kept)
+            return [1 + 10**9 * (c[t] + 2) // whole for t in kept]
+
+        p = {s: shares(counts[lang, s]) for s in sources}
+        q = shares(sum((counts[lang, s] for s in sources), Counter()))
+        for s in sources:
+            value = [(sum((a - b) ** 2 // (a + b) for a, b in zip(p[s], p[o], strict=True)), o) for o in sources if o != s]
+            terms = [((a - b) ** 2 // (a + b), t) for t, a, b in zip(kept, p[s], q, strict=True) if counts[lang, s][t] and a > b]
+            for part, rows, most in (("pair", value, None), ("term", terms, top)):
+                rows.sort(key=lambda x: (-x[0], x[1].encode()))
+                out += [(lang, s, part, item, v, k) for k, (v, item) in enumerate(rows[:most], 1)]
+    return sorted(out)
+
+
+def found(df):
+    return sorted(tuple(r) for r in df.select("lang", "source", "part", "item", "value", "rank").collect())
+
+
+def docs_of(df):
+    return [(r["text"], r["lang"], r["source"]) for r in df.select("text", "lang", "source").collect()]
+
+
+def test_equals_plain_counting(spark):
+    rng = random.Random(5)
+    words = ["The", "café", "漢字", "x", "naïve", "A1b", "don't", "Übung", *(f"w{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(60))]
+    rows = []
+    for _ in range(120):
+        lang, source = rng.choice([("en", "a"), ("en", "b"), ("en", "é"), ("en", None), ("de", "a"), (None, None)])
+        some = rng.choices(words, weights=[1 / (k + 1) for k in range(len(words))], k=rng.randint(0, 40))
+        rows.append((rng.choice([" ".join(some), "-".join(some), None]), lang, source, 1, "x"))
+    df = spark.createDataFrame(rows, "text string, lang string, source string, block int, one string")
+    for min_docs, top in ((1, 3), (10, 10), (10_000, 5)):
+        assert found(divergence.audit(df, min_docs, top)) == brute(docs_of(df), min_docs, top)
+
+
+def test_many_blocks_and_early_flushes_change_nothing(spark, monkeypatch):
+    df = cases.odd(spark)
+    want = brute(docs_of(df), 1, 10)
+    monkeypatch.setattr(divergence, "BLOCK_TERMS", 7)
+    assert found(divergence.audit(df, 1, 10)) == want
+
+
+def test_counts_are_flushed_without_loss(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(divergence, "HELD", 50)
+    texts = [cases.prose(k, 80) for k in range(40)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 40, "source": [str(k % 3) for k in range(40)], "text": texts})
+    got, docs = Counter(), Counter()
+    parts = list(divergence._counted(iter([batch, batch])))
+    for part in parts:
+        for r in part.to_pylist():
+            got[r["source"], r["term"]] += r["n"]
+            docs[r["source"], r["term"]] += r["docs"]
+    want, want_docs = Counter(), Counter()
+    for k, text in enumerate(texts * 2):
+        want.update((str(k % 40 % 3), t) for t in text.split())
+        want_docs.update((str(k % 40 % 3), t) for t in set(text.split()))
+    assert got == want and docs == want_docs
+
+
+def test_gallop_finds_what_is_there():
+    rng = np.random.default_rng(3)
+    for short, long in ((0, 0), (0, 9), (1, 1), (5, 1000), (700, 800), (900, 20), (300, 100_000)):
+        a = np.unique(rng.integers(0, 120_000, short))
+        b = np.unique(rng.integers(0, 120_000, long))
+        at = divergence.gallop(a, b, 16)
+        assert [int(x) for x in a[at >= 0]] == sorted(set(a.tolist()) & set(b.tolist()))
+        assert (b[at[at >= 0]] == a[at >= 0]).all()
+
+
+def test_shares_are_exact_for_large_counts():
+    for count, whole in ((0, 3), (10**14, 10**14 + 7), (10**15, 9 * 10**15), (5, 10**15)):
+        assert divergence.shares(np.array([count]), whole)[0] == 1 + 10**9 * (count + 2) // whole
+
+
+def test_odd_tables(spark):
+    df = cases.odd(spark)
+    assert found(divergence.audit(df, 1)) == brute(docs_of(df), 1, 10)
+    assert found(divergence.audit(cases.empty(spark))) == []
