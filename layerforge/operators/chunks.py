@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerforge.operators.contracts import unique_contract
+from layerforge.sources.staging import written
 
-
-# Fewest and most buckets of the default.
-FEWEST, MOST = 8, 2000
+# monotonically_increasing_id holds the partition above this many bits, and the row below.
+_ROW_BITS = 33
 
 
 def order_contract(df: DataFrame, batch: Sequence[str], order: str) -> DataFrame:
@@ -19,48 +19,53 @@ def order_contract(df: DataFrame, batch: Sequence[str], order: str) -> DataFrame
     return unique_contract(df, "chunks.order is unique", [*batch, order])
 
 
+def _in_ranges(df: DataFrame, batch: Sequence[str], order: str) -> tuple[DataFrame, Column, Column]:
+    """Rows in physical ranges of (batch, order), the range of a row, and its place there, up to a constant.
+
+    Spark draws the ranges from a sample. The rows are sorted in them and written, so that the ranges hold for all later steps.
+    """
+    # The number is stated: coalesced ranges would make one task of a table that is small only by its bytes.
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sort = [F.col(c).asc_nulls_first() for c in (*batch, order)]
+    dealt = df.repartitionByRange(ranges, *sort).sortWithinPartitions(*sort)
+    staged = written(dealt.withColumn("__row", F.monotonically_increasing_id()), "ranges")
+    return staged, F.shiftright("__row", _ROW_BITS), F.col("__row")
+
+
 def row_positions(
     df: DataFrame, batch: Sequence[str], order: str, bucket: Column | None = None
 ) -> DataFrame:
     """Append `position`: the 1-based place of every row in its batch by `order`.
 
-    Same result as `row_number` over the whole batch, in two levels: rows are
-    numbered inside (batch, bucket), and each bucket starts after the rows of
-    the buckets before it. Only one count per bucket meets in a batch's window,
-    so a batch that holds a third of the table is still numbered by many tasks.
-
-    `order` must be unique per batch (`order_contract` counts where it is not).
-    `bucket` must not decrease as `order` grows; the default cuts a numeric or
-    time order at its quantiles over the whole table, so buckets are few and
-    even however sparse the keys are: as many as the session has shuffle
-    partitions, so a batch that is the whole table still makes work for all
-    tasks. The cuts come as a scalar subquery.
+    Same result as `row_number` over the whole batch, in two levels: rows have a place in their
+    range, and a range knows, per batch, its first place and the rows of the ranges before it. Only one
+    row per batch and range meets in a batch's window, so a batch that is the whole table is
+    still numbered by all tasks, and no row carries a list of bounds.
+
+    `order` must be unique per batch (`order_contract` counts where it is not); NULLs come first. Where the data has a column
+    that does not decrease as `order` grows, such as a day, give it as `bucket`: it then makes the ranges, and nothing is written.
     """
     if bucket is None:
-        n = min(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), FEWEST), MOST)
-        cuts = [k / n for k in range(1, n)]
-        bounds = df.agg(F.percentile_approx(order, cuts, 10 * n).alias("bounds")).scalar()
-        source = df.withColumn("__bounds", bounds)
-        bucket = F.size(F.filter("__bounds", lambda b: b < F.col(order)))
+        source, bucket, place = _in_ranges(df, batch, order)
     else:
-        source = df
+        source, place = df, None
     # A struct compares NULL fields as equal, so it is one null-safe key for the
-    # aggregation, the join and the window, and all three share its partitioning.
+    # aggregation, the join and the window.
     grouped = source.withColumn("__group", F.struct(*batch, bucket.alias("__bucket")))
+    if place is None:
+        inside = Window.partitionBy("__group").orderBy(F.col(order).asc_nulls_first())
+        grouped, place = grouped.withColumn("__row", F.row_number().over(inside).cast("bigint")), F.col("__row")
     before = (
         Window.partitionBy(*[F.col(f"__group.{b}") for b in batch])
         .orderBy("__group.__bucket")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
+    shifts = (
         grouped.groupBy("__group")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select("__group", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    )
-    inside = Window.partitionBy("__group").orderBy(order)
-    return grouped.join(offsets, "__group").select(
-        *df.columns, (F.col("__before") + F.row_number().over(inside)).alias("position")
+        .agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__first"))
+        .select("__group", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first") + 1).alias("__shift"))
     )
+    return grouped.join(shifts, "__group").select(*df.columns, (place + F.col("__shift")).alias("position"))
 
 
 def chunk_numbers(

@@ -27,8 +27,8 @@ def bronze(
     as_of: AsOf = None,
     id_type: str = "int",
 ) -> DataFrame:
-    """Scan the raw files of an entity and make its bronze rows."""
-    return one_per_id(stamped(read_raw(spark, path, entity_schema(entity, id_type)), as_of))
+    """Scan the raw files of an entity and make its bronze rows; lines that do not fit keep their text."""
+    return one_per_id(stamped(read_raw(spark, path, entity_schema(entity, id_type), broken=True), as_of))
 
 
 def relational_products(products: DataFrame, as_of: AsOf = None) -> DataFrame:

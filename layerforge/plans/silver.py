@@ -18,6 +18,8 @@ from layerforge.functions import numeric, predicates, text
 from layerforge.functions.audit import AsOf, audit_time
 from layerforge.operators import quality
 from layerforge.operators.dedup import latest_per_key, newest_first
+from layerforge.operators.merge import evolved_union
+from layerforge.sources.scans import BROKEN, broken_reason
 
 # The category taxonomy and, below, the tags of the rules.
 CATEGORIES = {
@@ -33,6 +35,20 @@ def with_typed_id(bronze: DataFrame, id_type: str) -> DataFrame:
     return bronze.withColumn("id", F.col("id").try_cast(id_type))
 
 
+def line_rules(carry: Sequence[str]) -> list[quality.Rule]:
+    """Rules on the line itself, where its text is carried: it did not parse, or not all of its fields did."""
+    if BROKEN not in carry:
+        return []
+    reason = broken_reason()
+    return [("line_not_json", reason == "not_json"), ("field_mistyped", reason == "field_mistyped")]
+
+
+def tags(entity: str) -> list[str]:
+    """The tags that rows of an entity can have."""
+    rules = product_rules() if entity == "products" else user_rules()
+    return [tag for tag, _ in [*rules, *line_rules((BROKEN,))]]
+
+
 def latest_versions(bronze: DataFrame, ties: Sequence[str] | None = None) -> DataFrame:
     """Newest row per id, rows without a timestamp last.
 
@@ -104,7 +120,7 @@ def products_checked(
         quality.with_category_table if isinstance(taxonomy, DataFrame) else quality.with_category
     )
     return quality.with_issues(
-        nullify_products(categorise(flat, "category_raw", taxonomy)), product_rules()
+        nullify_products(categorise(flat, "category_raw", taxonomy)), [*product_rules(), *line_rules(carry)]
     )
 
 
@@ -176,7 +192,7 @@ def users_checked(
             "dq_geo_invalid": predicates.off_the_globe(F.col("lat"), F.col("long")),
         }
     )
-    return quality.with_issues(flagged, user_rules())
+    return quality.with_issues(flagged, [*user_rules(), *line_rules(carry)])
 
 
 def users(
@@ -196,4 +212,4 @@ def users(
 
 def quarantine(latest: DataFrame, keyless: DataFrame) -> DataFrame:
     """Latest rows with an issue, and every checked row that has no id."""
-    return quality.quarantined(latest).unionByName(quality.without_key(keyless, "id"))
+    return evolved_union(quality.quarantined(latest), quality.without_key(keyless, "id"))

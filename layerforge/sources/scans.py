@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,16 +14,33 @@ from layerforge.sources.schemas import entity_schema
 
 RAW_FILES = "*.json*"
 
+# The column that keeps the text of a line that does not fit the schema.
+BROKEN = "broken_line"
 
-def read_raw(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
+
+def with_broken(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+
+
+def broken_reason(column: str = BROKEN) -> Column:
+    """Why a line is kept as text: `not_json`, or `field_mistyped` where single fields do not fit; NULL for good lines."""
+    text = F.col(column)
+    return F.when(text.isNotNull(), F.when(F.try_parse_json(text).isNull(), "not_json").otherwise("field_mistyped"))
+
+
+def read_raw(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, broken: bool = False
+) -> DataFrame:
     """NDJSON files (plain or gzip) anywhere below `path`, plus `file_origin`.
 
     Parsing is permissive: a broken line gives a row of NULLs, a field that does
-    not fit its type gives NULL in that field only. The file path comes from the
+    not fit its type gives NULL in that field only. With `broken` the text of such lines
+    is kept in `broken_line`. The file path comes from the
     scan's own metadata, so it survives any later shuffle.
     """
     files = (
-        spark.read.schema(schema)
+        spark.read.schema(with_broken(schema) if broken else schema)
+        .option("columnNameOfCorruptRecord", BROKEN)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", RAW_FILES)
         .json(path)
@@ -31,10 +48,14 @@ def read_raw(spark: SparkSession, path: str | list[str], schema: T.StructType) -
     return files.select("*", F.col("_metadata.file_path").alias("file_origin"))
 
 
-def parsed_lines(lines: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:
+def parsed_lines(
+    lines: DataFrame, schema: T.StructType, column: str = "value", broken: bool = False
+) -> DataFrame:
     """Rows of NDJSON text held in a column, as permissive as `read_raw`; other columns stay."""
     rest = [c for c in lines.columns if c != column]
-    return lines.select(*rest, F.from_json(column, schema).alias("__row")).select(*rest, "__row.*")
+    options = {"columnNameOfCorruptRecord": BROKEN}
+    row = F.from_json(column, with_broken(schema) if broken else schema, options)
+    return lines.select(*rest, row.alias("__row")).select(*rest, "__row.*")
 
 
 def payload_rows(payloads: DataFrame, schema: T.StructType, column: str = "value") -> DataFrame:

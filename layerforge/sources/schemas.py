@@ -34,7 +34,7 @@ def entity_schema(entity: str, id_type: str = "int") -> T.StructType:
 
 
 def __getattr__(name: str) -> T.StructType:
-    """`PRODUCTS` and `USERS`: the schemas with int ids."""
+    """`PRODUCTS` and `USERS`, the schemas with int ids. Spark parses them, so they are made when a session is there."""
     if name in ("PRODUCTS", "USERS"):
         return entity_schema(name.lower())
     raise AttributeError(name)

@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from datetime import timedelta
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,13 +57,20 @@ def replace_slice(
 
 
 def publish_slice(
-    df: DataFrame, table: str, path: str, column: str, value: str, fmt: str = "parquet"
+    df: DataFrame,
+    table: str,
+    path: str,
+    column: str,
+    value: str,
+    fmt: str = "parquet",
+    contracts: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Replace one slice of a table that is partitioned by `column` alone, at once for its readers.
 
     The rows go to a new folder, and then the catalog's entry of this partition
-    points there. A job that fails half-way, or whose executors are lost, leaves the old
-    slice as it was, and no other partition is listed. Old folders stay until
+    points there. A job that fails half-way, whose executors are lost, or whose rows break a contract leaves the old
+    slice as it was, and no other partition is listed. `contracts` builds the contract frame from
+    the written rows, before any reader can see them. Old folders stay until
     you remove them. Read such a table by its name.
     """
     spark = df.sparkSession
@@ -70,6 +79,8 @@ def publish_slice(
     rows = df.drop(column)
     location = f"{path.rstrip('/')}/{column}={value}/v-{uuid.uuid4().hex}"
     overwrite(rows, location, fmt)
+    if contracts is not None:
+        enforce(contracts(spark.read.format(fmt).schema(rows.schema).load(location)))
     schema = T.StructType([*rows.schema.fields, T.StructField(column, T.StringType())])
     create(spark, table, path, schema, fmt, (column,))
     where = f"PARTITION (`{column}` = '{value}')"
@@ -205,6 +216,63 @@ def _switched(spark: SparkSession, table: str, location: str, schema: T.StructTy
     return True
 
 
+def _plain(path: Column) -> Column:
+    """Local paths come with one slash or three."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def published_locations(spark: SparkSession, table: str) -> DataFrame:
+    """`location`: the folders that the catalog points to for a table, one per slice where it has any.
+
+    The catalog is asked slice by slice; only names come to the driver.
+    """
+    if not spark.catalog.tableExists(table):
+        return spark.createDataFrame([], "location string")
+    wanted = [""]
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        specs = [r["partition"].split("/") for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        wanted = ["PARTITION ({})".format(", ".join("`{}` = '{}'".format(*p.split("=", 1)) for p in spec)) for spec in specs]
+    found = []
+    for part in wanted:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {part}").where("col_name = 'Location'")
+        found += [(r["data_type"],) for r in rows.collect()[:1]]
+    return spark.createDataFrame(found, "location string").select(_plain(F.col("location")).alias("location"))
+
+
+def unreferenced(spark: SparkSession, tables: Sequence[str], root: str, grace: timedelta = timedelta(days=7)) -> DataFrame:
+    """`location, n_files, n_bytes, last_written`: folders of old versions below `root` that none of `tables` points to.
+
+    Only folders that `publish` and `publish_slice` make are listed, and of these only ones in which nothing was written during
+    `grace`: running readers keep what they opened, and a run that is writing has not switched yet. Name every table that may
+    have its folders below `root`. Files are listed by Spark, and their contents are not read.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    folder = F.regexp_extract(_plain(F.col("path")), "^(.*/v-[0-9a-f]{32})/", 1)
+    folders = (
+        files.select(folder.alias("location"), "modificationTime", "length")
+        .where("location <> ''")
+        .groupBy("location")
+        .agg(
+            F.count(F.lit(1)).alias("n_files"),
+            F.sum("length").alias("n_bytes"),
+            F.max("modificationTime").alias("last_written"),
+        )
+    )
+    used = reduce(DataFrame.union, [published_locations(spark, t) for t in tables])
+    old = F.col("last_written") < F.current_timestamp() - F.lit(grace)
+    return folders.join(used, "location", "left_anti").where(old)
+
+
+def remove_unreferenced(spark: SparkSession, tables: Sequence[str], root: str, grace: timedelta = timedelta(days=7)) -> list[str]:
+    """Delete the folders of `unreferenced` and return their names, one per old version."""
+    gone = sorted(r["location"] for r in unreferenced(spark, tables, root, grace).select("location").collect())
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    for name in gone:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(settings).delete(path, True)
+    return gone
+
+
 def view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

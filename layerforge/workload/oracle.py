@@ -468,11 +468,31 @@ def oracle_sql() -> dict[str, str]:
             CASE WHEN ok THEN c_nationkey END AS __v, CASE WHEN ok THEN c_mktsegment END AS firstname,
             CASE WHEN ok THEN c_nationkey END AS number, CASE WHEN ok THEN CAST(c_nationkey AS VARCHAR) END AS lat
             FROM (SELECT *, c_custkey % 9 <> 0 AND c_custkey % 10 <> 0 AS ok FROM customer)""",
-        "payload_rows": """SELECT n_regionkey AS region, kind, n_nationkey AS id, n_name AS name
-            FROM nation, (VALUES ('array'), ('object')) AS k(kind)""",
-        "source_lineage": """SELECT 'part' AS source, count(*) AS n_rows, CAST(0 AS BIGINT) AS n_unnamed FROM part
-            UNION ALL SELECT 'customer', count(*), 0 FROM customer
-            UNION ALL SELECT 'supplier', count(*), 0 FROM supplier""",
+        "payload_rows": """SELECT c_custkey // 100 AS page, kind, c_custkey AS id, c_name AS name
+            FROM customer, (VALUES ('array'), ('object')) AS k(kind)""",
+        "source_lineage": """SELECT 'part' AS source, count(*) AS n_rows FROM part
+            UNION ALL SELECT 'customer', count(*) FROM customer
+            UNION ALL SELECT 'supplier', count(*) FROM supplier""",
+        "broken_lines": """SELECT p_partkey AS k,
+            CASE WHEN p_partkey % 13 <> 0 AND p_partkey % 11 <> 0 THEN p_partkey END AS id,
+            CASE WHEN p_partkey % 13 <> 0 AND p_partkey % 11 = 0 THEN p_name END AS title,
+            CASE WHEN p_partkey % 13 = 0 THEN 'not_json' ELSE 'field_mistyped' END AS reason,
+            CASE WHEN p_partkey % 13 = 0 THEN substr(concat('{"id":', p_partkey + 3000000000, ',"title":"', p_name), 1, 20)
+                 WHEN p_partkey % 11 = 0 THEN concat('{"id":"x","other":', p_partkey + 3000000000, ',"title":"', p_name,
+                      '","price":', p_size, ',"category":"', p_type, '","rating":{"rate":', p_size / CAST(8 AS DOUBLE),
+                      ',"count":', p_size, '}}')
+                 ELSE concat('{"id":', p_partkey, ',"rating":"none"}') END AS broken_line
+            FROM part WHERE p_partkey % 13 = 0 OR p_partkey % 11 = 0 OR p_partkey % 7 = 0""",
+        "key_registry_first": _with(
+            _USERS,
+            """SELECT city, zipcode, row_number() OVER (ORDER BY city NULLS FIRST, zipcode NULLS FIRST) AS key
+               FROM (SELECT DISTINCT city, zipcode FROM u_flat WHERE city IS NOT NULL OR zipcode IS NOT NULL)""",
+        ),
+        "key_registry_next": """WITH f AS (SELECT p_name, min(p_partkey % 3) AS run FROM part GROUP BY 1),
+            r AS (SELECT run, count(*) AS n FROM f GROUP BY 1),
+            s AS (SELECT run, n, sum(n) OVER (ORDER BY run) AS last FROM r)
+            SELECT run::INTEGER AS run, n, (last - n + 1)::BIGINT AS first, last::BIGINT AS last FROM s
+            UNION ALL SELECT -1, sum(n)::BIGINT, 1, sum(n)::BIGINT FROM r""",
         "ndjson_lines": _with(
             _P,
             """SELECT version, id, title, price, description, category, image, rate AS rating_rate,

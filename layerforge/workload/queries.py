@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from layerforge.functions import numeric, predicates, text
 from layerforge.functions.keys import surrogate_key
-from layerforge.operators import chunks, contracts, merge, quality, running
+from layerforge.operators import chunks, contracts, merge, quality, registry, running
 from layerforge.operators.dedup import latest_per_key, newest_first
 from layerforge.plans import bronze, gold, silver
 from layerforge.sources import landing, scans, schemas
@@ -348,6 +348,26 @@ def raw_chunk_assignment_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.chunk_numbers(orders, ["batch"], "order_no", CHUNK_ROWS)
 
 
+def key_registry_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered keys of the customers' places, NULLs included, in one first run."""
+    cities = silver.users_checked(roles.users(spark, sf_dir), roles.as_of()).select("city", "zipcode")
+    return registry.new_keys(cities, ["city", "zipcode"])
+
+
+def key_registry_next(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names in three runs: names with an earlier key keep it, others are numbered on."""
+    parts = roles.table(spark, sf_dir, "part").select(F.col("p_name").alias("name"), "p_partkey")
+    known = None
+    for run in range(3):
+        seen = parts.where(F.col("p_partkey") % 3 <= run)
+        fresh = registry.new_keys(seen, ["name"], known).withColumn("run", F.lit(run))
+        known = fresh if known is None else known.unionByName(fresh)
+    every = known.agg(F.count(F.lit(1)).alias("n_keys"), F.countDistinct("key").alias("n_distinct"), F.max("key").alias("last_key"))
+    by_run = known.groupBy("run").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first"), F.max("key").alias("last"))
+    whole = every.select(F.lit(-1).alias("run"), F.col("n_keys").alias("n"), (F.col("n_keys") - F.col("n_distinct") + 1).alias("first"), F.col("last_key").alias("last"))
+    return by_run.unionByName(whole)
+
+
 def bronze_products_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NDJSON lines with integer prices, text ids, a text where a struct belongs, and broken lines, typed."""
     lines = roles.product_lines(spark, sf_dir)
@@ -363,23 +383,32 @@ def bronze_users_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every line that does not fit, why, and what could be read of it."""
+    lines = roles.product_lines(spark, sf_dir)
+    rows = scans.parsed_lines(lines, schemas.entity_schema("products", "bigint"), broken=True)
+    reason = scans.broken_reason().alias("reason")
+    return rows.where(F.col(scans.BROKEN).isNotNull()).select("k", "id", "title", reason, scans.BROKEN)
+
+
 def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """API responses: arrays of the regions' nations, and single objects."""
+    """API responses: pages of customers as arrays, and single objects."""
     rows = scans.payload_rows(
-        roles.nation_payloads(spark, sf_dir), T.StructType.fromDDL("id int, name string"), "body"
+        roles.customer_payloads(spark, sf_dir), T.StructType.fromDDL("id bigint, name string"), "body"
     )
-    return rows.select("region", "kind", "id", "name")
+    return rows.select("page", "kind", "id", "name")
 
 
 def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows by the file they were read from."""
+    """Rows by the table whose file they were read from, by the name in the scan's own metadata."""
     parts = [
-        roles.table(spark, sf_dir, t).select(F.col("_metadata.file_name").alias("file_name"), F.lit(t).alias("source"))
+        roles.table(spark, sf_dir, t).select(F.col("_metadata.file_path").alias("file_origin"))
         for t in ("part", "customer", "supplier")
     ]
     files = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    by_file = files.groupBy("source", "file_name").agg(F.count(F.lit(1)).alias("n"))
-    return by_file.groupBy("source").agg(F.sum("n").alias("n_rows"), F.count_if(F.col("file_name") == "").alias("n_unnamed"))
+    # A table is one file, or a folder of that name.
+    source = F.regexp_extract("file_origin", r"([^/]+)\.parquet(?:/[^/]*)?$", 1)
+    return files.groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def ndjson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -457,8 +486,11 @@ def queries() -> dict[str, Query]:
         schema_evolution_union,
         raw_chunk_assignment,
         raw_chunk_assignment_sparse,
+        key_registry_first,
+        key_registry_next,
         bronze_products_typed,
         bronze_users_typed,
+        broken_lines,
         payload_rows,
         source_lineage,
         ndjson_lines,

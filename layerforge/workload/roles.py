@@ -160,12 +160,13 @@ def user_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nation_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses (`region, kind, body`): an array of nations per region, an object per nation."""
-    item = "named_struct('id', n_nationkey, 'name', n_name)"
-    nations = table(spark, sf_dir, "nation")
-    arrays = nations.groupBy(F.col("n_regionkey").alias("region")).agg(
-        F.to_json(F.collect_list(F.expr(item))).alias("body")
-    )
-    objects = nations.selectExpr("n_regionkey AS region", f"to_json({item}) AS body")
+PAGE = 100
+
+
+def customer_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses (`page, kind, body`): an array per page of 100 customer numbers, an object per customer."""
+    item = "named_struct('id', c_custkey, 'name', c_name)"
+    customers = table(spark, sf_dir, "customer").selectExpr(f"c_custkey div {PAGE} AS page", f"{item} AS item")
+    arrays = customers.groupBy("page").agg(F.to_json(F.collect_list("item")).alias("body"))
+    objects = customers.select("page", F.to_json("item").alias("body"))
     return arrays.withColumn("kind", F.lit("array")).unionByName(objects.withColumn("kind", F.lit("object")))
