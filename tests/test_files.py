@@ -301,9 +301,10 @@ def test_incremental_silver_equals_the_full_one(spark, tmp_path):
         lake = runs.Lake(str(tmp_path / tag), bronze=f"{tag}_b", silver=f"{tag}_s")
         for n, products in enumerate(days, start=1):
             refine(spark, lake, datetime.date(2024, 1, min(n, 3)), "products", products, incremental)
+        # The two lakes have different folders, and the rows name their files.
         seen.append(
             [
-                sorted(map(repr, spark.table(f"{lake.silver}.{t}").collect()))
+                sorted(map(repr, spark.table(f"{lake.silver}.{t}").drop("file_origin").collect()))
                 for t in ("products", "products_quarantine")
             ]
         )

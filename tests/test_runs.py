@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_plans import product, user
 
-from layerforge.operators import chunks, merge, quality
+from layerforge.operators import chunks, merge, quality, registry
 from layerforge.operators.contracts import ContractViolation
 from layerforge.operators.dedup import newest_first
 from layerforge.plans import gold, runs
@@ -205,3 +205,223 @@ def test_runs_check_their_settings(spark, tmp_path):
             runs.to_gold(spark, lake, at(1))
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def stored_and_full(spark, tag):
+    """Both forms of the fact, from the stored days and over all snapshots at once."""
+    full = gold.fact_product_metrics_daily(
+        spark.table(f"{tag}_s.products"), keep_id=True, day=F.to_date("snapshot"), closed=True
+    )
+
+    def rounded(df):
+        rows = df.withColumn("rating_bayes_score", F.round("rating_bayes_score", 9))
+        return sorted(map(repr, rows.select(sorted(c for c in rows.columns if c != "product_key")).collect()))
+
+    return rounded(spark.table(f"{tag}_g.fact_product_metrics_daily")), rounded(full)
+
+
+def rated(n, count, rate=4.0, **more):
+    return product(n, rating={"rate": rate, "count": count}, **more)
+
+
+def silver_count(spark, tag, day, n):
+    rows = spark.table(f"{tag}_s.products").where(f"snapshot = '2024-01-{day:02}' AND id = {n}").collect()
+    return [(r["rating_count"], r["batch_id"]) for r in rows]
+
+
+def test_an_old_day_again_sees_what_it_saw(spark, tmp_path):
+    lake = lake_at(tmp_path, "again")
+    for day, count in ((1, 3), (2, 3), (3, 50)):
+        run_gold(spark, lake, day, [rated(1, count)], [user(1)] if day == 1 else None)
+    runs.to_silver(spark, lake, "products", at(2), "p2")
+    assert silver_count(spark, "again", 2, 1) == [(3, "p2")]
+    runs.to_gold(spark, lake, at(2))
+    stored, full = stored_and_full(spark, "again")
+    assert stored == full
+    cum = spark.table("again_g.fact_product_metrics_daily").orderBy("dt").collect()
+    assert [r["rating_count_cum"] for r in cum] == [3, 6, 56]
+    # The whole of it once more, without naming a batch.
+    runs.to_silver(spark, lake, "products", at(2))
+    assert silver_count(spark, "again", 2, 1) == [(3, "p2")]
+
+
+def test_a_batch_that_landed_later_is_not_in_an_earlier_day(spark, tmp_path):
+    lake = lake_at(tmp_path, "later")
+    for day in (1, 2, 3):
+        land(spark, lake, "products", f"p{day}", [rated(1, day), rated(10 + day, 1)], at(day))
+    # All three days are made after everything has landed.
+    for day in (1, 2, 3):
+        runs.to_silver(spark, lake, "products", at(day), f"p{day}")
+        assert silver_count(spark, "later", day, 1) == [(day, f"p{day}")]
+    runs.to_silver(spark, lake, "products", at(2))
+    assert spark.table("later_s.products").where("snapshot = '2024-01-02'").count() == 3
+    # A batch that lands again keeps its first day.
+    land(spark, lake, "products", "p1", [rated(1, 1), rated(11, 1)], at(3, 9))
+    assert [r["landed_on"] for r in spark.table("later_b.products_landed").where("batch_id = 'p1'").collect()] == ["2024-01-01"]
+
+
+def test_late_batches_move_forward_through_the_running_counts(spark, tmp_path):
+    tag = "late"
+    lake = lake_at(tmp_path, tag)
+    for day in (1, 2, 3):
+        run_gold(spark, lake, day, [rated(1, day), rated(day + 1, 5)], [user(1)] if day == 1 else None)
+    for day in (2, 1):
+        # A correction, and a product that only this batch has.
+        land(spark, lake, "products", f"late{day}", [rated(1, 100 * day), rated(20 + day, 7)], at(day, 9))
+        runs.to_silver(spark, lake, "products", at(day), f"late{day}")
+        runs.to_gold(spark, lake, at(day))
+        stored, full = stored_and_full(spark, tag)
+        assert stored == full
+    # A silver day that changed without a gold run of its own is caught up by the next one.
+    land(spark, lake, "products", "last1", [rated(1, 9), rated(30, 2)], at(1, 10))
+    runs.to_silver(spark, lake, "products", at(1), "last1")
+    run_gold(spark, lake, 4, [rated(1, 1)])
+    stored, full = stored_and_full(spark, tag)
+    assert stored == full
+
+
+def test_a_run_that_broke_off_is_completed(spark, tmp_path, monkeypatch):
+    lake = lake_at(tmp_path, "off")
+    for day in (1, 2, 3):
+        run_gold(spark, lake, day, [rated(1, day)], [user(1)] if day == 1 else None)
+    land(spark, lake, "products", "late", [rated(1, 40)], at(1, 9))
+    runs.to_silver(spark, lake, "products", at(1), "late")
+    whole = runs._write_fact_day
+
+    def broken(spark, lake, day, *rest):
+        if day.endswith("-02"):
+            raise RuntimeError("lost")
+        return whole(spark, lake, day, *rest)
+
+    monkeypatch.setattr(runs, "_write_fact_day", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        runs.to_gold(spark, lake, at(1))
+    monkeypatch.setattr(runs, "_write_fact_day", whole)
+    runs.to_gold(spark, lake, at(1))
+    stored, full = stored_and_full(spark, "off")
+    assert stored == full
+
+
+def test_a_day_that_breaks_a_contract_is_never_public(spark, tmp_path):
+    lake = lake_at(tmp_path, "bad")
+    for day in (1, 2):
+        run_gold(spark, lake, day, [rated(1, day)], [user(1)] if day == 1 else None)
+    before = table(spark, "bad_g.product_days")
+    # Silver never holds such a rate; somebody wrote it.
+    wrong = spark.table("bad_s.products").where("snapshot = '2024-01-02'").withColumn("rating_rate", F.lit(9.0))
+    sinks.publish_slice(wrong, "bad_s.products", lake.path("silver", "products"), "snapshot", "2024-01-02")
+    log = spark.table("bad_s.products_batches").where("snapshot = '2024-01-02'").withColumn("version", F.lit("wrong"))
+    sinks.publish_slice(log, "bad_s.products_batches", lake.path("silver", "products_batches"), "snapshot", "2024-01-02")
+    with pytest.raises(ContractViolation, match="rating_rate"):
+        runs.to_gold(spark, lake, at(2))
+    assert table(spark, "bad_g.product_days") == before
+
+
+def test_broken_lines_reach_the_quarantine_with_their_text(spark, tmp_path):
+    lake = lake_at(tmp_path, "text")
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    lines = ['{"id": 1, "title": "good", "price": 2, "category": "electronics"}', '{"id": 2, "title": "cut', '{"id": 3, "title": "t", "price": "dear", "category": "electronics"}', "[]"]
+    (folder / "a.json").write_text("\n".join(lines) + "\n")
+    for batch, day in (("b1", 1), ("b2", 2)):
+        runs.to_bronze(spark, lake, "products", str(folder), batch, at(day))
+        runs.to_silver(spark, lake, "products", at(day), batch)
+    held = spark.table("text_s.products_quarantine").where("snapshot = '2024-01-02'").collect()
+    found = {(r["id"], r["batch_id"], r["broken_line"], "line_not_json" in r["dq_issues"], "field_mistyped" in r["dq_issues"]) for r in held}
+    assert {f for f in found if f[2] == lines[1]} == {(None, b, lines[1], True, False) for b in ("b1", "b2")}
+    assert {f for f in found if f[2] == lines[2]} == {(3, "b2", lines[2], False, True)}
+    assert all(r["file_origin"].endswith("a.json") for r in held)
+    assert not any(r["id"] == 1 for r in held)
+
+
+def test_measures_of_a_run_and_spikes(spark, tmp_path):
+    lake = lake_at(tmp_path, "dq")
+    for day in range(1, 5):
+        land(spark, lake, "products", f"p{day}", [rated(n, day) for n in range(40)], at(day))
+        runs.to_silver(spark, lake, "products", at(day), f"p{day}")
+    assert runs.dq_spikes(spark, lake, "products", at(4)).isEmpty()
+    land(spark, lake, "products", "p5", [rated(n, 1, price=-1 if n % 2 else 3) for n in range(200)], at(5))
+    runs.to_silver(spark, lake, "products", at(5), "p5")
+    kept = spark.table("dq_s.dq_runs").where("run = 'products.2024-01-05'")
+    measured = {r["metric"]: (r["n"], r["share"]) for r in kept.collect()}
+    snapshot = spark.table("dq_s.products").where("snapshot = '2024-01-05'")
+    assert measured["rows"] == (200, 1.0) and measured["null:price"] == (snapshot.where("price IS NULL").count(), 0.5)
+    assert measured["issue:price_invalid"][0] == 100 and measured["issue:line_not_json"] == (0, 0.0)
+    spikes = {r["metric"] for r in runs.dq_spikes(spark, lake, "products", at(5)).collect()}
+    assert spikes == {"rows", "invalid", "issue:price_invalid", "null:price"}
+
+
+def test_registered_keys_are_given_once(spark, monkeypatch):
+    monkeypatch.setattr(registry, "PER_BUCKET", 10_000)
+    known = None
+    for run in range(3):
+        ids = spark.range(0, 200_000, 3 - run).select(F.concat(F.lit("id"), "id").alias("natural"))
+        fresh = registry.new_keys(ids, ["natural"], known)
+        before = [] if known is None else sorted(map(tuple, known.collect()))
+        known = spark.createDataFrame((fresh if known is None else known.unionByName(fresh)).collect(), "natural string, key bigint")
+        assert set(before) <= set(map(tuple, known.collect()))
+    row = known.agg(F.count("key"), F.countDistinct("key"), F.countDistinct("natural"), F.min("key"), F.max("key")).first()
+    assert tuple(row) == (200_000, 200_000, 200_000, 1, 200_000)
+    assert registry.new_keys(known.select("natural"), ["natural"], known).isEmpty()
+    pairs = spark.createDataFrame([("a", None), ("a", None), (None, "b"), (None, None)], "x string, y string")
+    assert sorted(map(tuple, registry.new_keys(pairs, ["x", "y"]).collect()), key=repr) == [("a", None, 2), (None, "b", 1)]
+
+
+def test_dimensions_with_registered_keys(spark, tmp_path):
+    lake = lake_at(tmp_path, "reg", keys="registry")
+    out = run_gold(spark, lake, 1, [product(1), product(2, category="jewelery")], [user(1), user(2)])
+    first = {r["product_id"]: r["product_key"] for r in out["dim_product"].collect()}
+    out = run_gold(spark, lake, 2, [product(3), product(1)], [user(3)])
+    again = runs.to_gold(spark, lake, at(2))
+    keys = {r["product_id"]: r["product_key"] for r in again["dim_product"].collect()}
+    assert sorted(keys.values()) == [1, 2, 3] and {k: keys[k] for k in first} == first
+    categories = {r["category_key"]: r["category"] for r in again["dim_category"].collect()}
+    assert sorted(categories) == [1, 2]
+    assert {categories[r["category_key"]] for r in again["dim_product"].collect()} == set(categories.values())
+    cities = {r["city_key"] for r in again["dim_city"].collect()}
+    assert {r["city_key"] for r in again["dim_user"].collect()} <= cities
+    fact = again["fact_product_metrics_daily"].collect()
+    assert {(r["product_id"], r["product_key"]) for r in fact} == set(keys.items())
+    stored, full = stored_and_full(spark, "reg")
+    assert stored == full
+
+
+def test_only_old_folders_that_nothing_points_to_are_removed(spark, tmp_path):
+    sinks.create_namespace(spark, "keepers")
+    root = str(tmp_path / "lake")
+    df = spark.createDataFrame([(1,), (2,)], "id int")
+    for _ in range(3):
+        sinks.publish_slice(df, "keepers.sliced", f"{root}/sliced", "day", "d1")
+        sinks.publish(df, "keepers.whole", f"{root}/whole")
+    sinks.publish_slice(df.limit(0), "keepers.sliced", f"{root}/sliced", "day", "empty")
+    tables = ["keepers.sliced", "keepers.whole", "keepers.none"]
+    none = datetime.timedelta(0)
+    assert sinks.unreferenced(spark, tables, root).isEmpty()  # nothing is older than a week
+    found = sinks.unreferenced(spark, tables, root, none)
+    assert found.count() == 4
+    used = {r["location"] for t in tables for r in sinks.published_locations(spark, t).collect()}
+    assert len(used) == 3 and not used & {r["location"] for r in found.collect()}
+    assert len(sinks.remove_unreferenced(spark, tables, root, none)) == 4
+    assert sinks.unreferenced(spark, tables, root, none).isEmpty()
+    assert spark.table("keepers.whole").count() == 2 and spark.table("keepers.sliced").count() == 2
+
+
+def test_rows_without_a_key_are_spread(spark):
+    from layerforge.operators.joins import left_join
+
+    left = spark.range(4000).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 7).alias("k"))
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(6)] + [(None, "nobody")], "r long, v string")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        out = left_join(left, right, [(F.col("k"), F.col("r"))], ("id",))
+        got = {(r["id"], r["k"], r["v"]) for r in out.collect()}
+        want = {(r["id"], r["k"], r["v"]) for r in left.join(right, F.col("k") == F.col("r"), "left").collect()}
+        assert got == want and len(got) == 4000
+        held = out.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+        assert len(held) == 16 and max(r["count"] for r in held) < 2 * 3600 / 16
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
