@@ -28,11 +28,13 @@ def escaped(text: Column) -> Column:
 
 
 def unescaped(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?s)\\(.)", "$1")
+    return F.regexp_replace(text, r"(?s)\\(.?)", "$1")
 
 
 def head(role: Column) -> Column:
-    return F.concat(F.lit(OPEN), escaped(role), F.lit(CLOSE + "\n"))
+    """The mark of a role. One named like the end mark is escaped, and a backslash parts a last `<` from what follows."""
+    name = F.when(role == "end", F.lit("\\end")).otherwise(F.regexp_replace(escaped(role), r"<\z", r"<\\"))
+    return F.concat(F.lit(OPEN), name, F.lit(CLOSE + "\n"))
 
 
 def tokens(text: Column) -> Column:

@@ -146,6 +146,7 @@ def _document_rows(width: int, classes: list[int], short: list[int], table):
                         {
                             "row": pa.array((task << 33) | (n + chosen), pa.int64()),
                             "doc_id": part["doc_id"].take(pa.array(chosen)),
+                            "key": part["key"].take(pa.array(chosen)),
                             "keys": pa.array([w.signed(np.unique(x)) for x in np.split(keys, starts[1:])], pa.list_(pa.int64())),
                             "shingles": pa.array([w.signed(s) for s in sets], pa.list_(pa.int64())),
                         }
@@ -166,8 +167,14 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = 5, percent: int = 80)
     and each row of `items` an item; pairs with equal ids and figures stay one row
     each. Empty tables give no rows.
     """
+    return _leaks(docs, items, width, percent).select("doc_id", "item_id", "n_shared", "n_item")
+
+
+def _leaks(docs: DataFrame, items: DataFrame, width: int, percent: int) -> DataFrame:
+    """`leaks` with `key`, the number of the document's text: an id may have several texts."""
     spark = docs.sparkSession
-    docs = with_package(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = with_package(rows.withColumn("key", F.xxhash64("text")))
     items = written(
         items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).mapInArrow(
             _item_rows(width), "item_id long, words long, size_class long, keys array<long>, shingles array<long>"
@@ -185,21 +192,30 @@ def leaks(docs: DataFrame, items: DataFrame, width: int = 5, percent: int = 80)
     found = written(
         docs.mapInArrow(
             _document_rows(width, list(shape["classes"]), list(shape["short"]), table),
-            "row long, doc_id long, keys array<long>, shingles array<long>",
+            "row long, doc_id long, key long, keys array<long>, shingles array<long>",
         ),
         "found",
     )
-    pairs = found.select("row", F.explode("keys").alias("key")).join(keys, "key").select("row", "item").distinct()
+    sought = found.select("row", F.explode("keys").alias("sought"))
+    pairs = sought.join(keys.withColumnRenamed("key", "sought"), "sought").select("row", "item").distinct()
     shared = F.size(F.array_intersect("shingles", "item_shingles")).cast("long")
     return (
         pairs.join(items.select("item", "item_id", F.col("shingles").alias("item_shingles")), "item")
-        .join(found.select("row", "doc_id", "shingles"), "row")
-        .select("doc_id", "item_id", shared.alias("n_shared"), F.size("item_shingles").cast("long").alias("n_item"))
+        .join(found.select("row", "doc_id", "key", "shingles"), "row")
+        .select("doc_id", "key", "item_id", shared.alias("n_shared"), F.size("item_shingles").cast("long").alias("n_item"))
         .where(F.col("n_shared") * 100 >= percent * F.col("n_item"))
     )
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose `doc_id` contains no item; all columns stay. Rows without `doc_id` stay."""
-    bad = leaks(docs, items, width, percent).select(F.col("doc_id").alias("__leaked")).distinct()
-    return docs.join(bad, F.col("doc_id").cast("long") == F.col("__leaked"), "left_anti")
+    """The rows of `docs` whose text contains no item; all columns stay, whatever their names. Rows without `doc_id` stay.
+
+    A `doc_id` with several texts is as many documents.
+    """
+    bad = _leaks(docs, items, width, percent).select("doc_id", "key").distinct()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("key"),
+    )
+    return rows.join(bad, ["doc_id", "key"], "left_anti").select(*[F.col(f"row.`{c}`") for c in docs.columns])

@@ -52,7 +52,9 @@ def _node(shingles: np.ndarray) -> int:
 
 
 def _clean(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # A document is a doc_id with a text: an id may have several.
+    return rows.withColumn("key", F.xxhash64("text"))
 
 
 def _sets(width: int):
@@ -78,6 +80,7 @@ def _sets(width: int):
                 yield pa.RecordBatch.from_pydict(
                     {
                         "doc_id": part["doc_id"],
+                        "key": part["key"],
                         "node": pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
                         "n": pa.array([len(s) for s in sets], pa.int64()),
                         "block": pa.nulls(len(sets), pa.int32()),
@@ -91,6 +94,7 @@ def _sets(width: int):
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": pa.nulls(_BLOCKS, pa.int64()),
+                    "key": pa.nulls(_BLOCKS, pa.int64()),
                     "node": pa.nulls(_BLOCKS, pa.int64()),
                     "n": pa.nulls(_BLOCKS, pa.int64()),
                     "block": pa.array(range(_BLOCKS), pa.int32()),
@@ -342,12 +346,17 @@ def linked_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
     documents and stay one row each. A row without `doc_id` links with nothing
     and has no component. Sets are told apart by 64-bit numbers of their shingles.
     """
+    return _linked_rows(docs, width, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """`linked_documents` with `key`, the number of the row's text, and `root`, which names the component."""
     spark = docs.sparkSession
     docs = with_package(_clean(docs))
     made = written(
-        docs.mapInArrow(_sets(width), "doc_id long, node long, n long, block int, counts binary"), "sets"
+        docs.mapInArrow(_sets(width), "doc_id long, key long, node long, n long, block int, counts binary"), "sets"
     )
-    rows = made.where("block IS NULL").select("doc_id", "node", "n")
+    rows = made.where("block IS NULL").select("doc_id", "key", "node", "n")
     ranks = spark.sparkContext.broadcast(_rarity(made))
 
     # One document stands for each distinct set.
@@ -433,27 +442,36 @@ def linked_documents(docs: DataFrame, width: int = 5, percent: int = 80) -> Data
         "node", F.coalesce("root", "node").alias("root"), "doc_id"
     )
     named = least.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    final = least.select("node", "root").join(named, "root").select("node", "component_id")
+    final = least.select("node", "root").join(named, "root").select("node", "root", "component_id")
     return rows.join(final, "node", "left").select(
         "doc_id",
+        "key",
+        "root",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
 
 
 def first_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` with the smallest `doc_id` of each group of linked documents; all columns stay.
+    """The rows of `docs` with the smallest `doc_id` of each group of linked documents; all columns stay, whatever their names.
 
     Documents that link with nothing stay, those without words or `doc_id` too. Of
-    rows that repeat both `doc_id` and text one stays.
+    rows that repeat both `doc_id` and text one stays. A `doc_id` with several texts is as many documents.
     """
-    found = written(linked_documents(docs, width, percent), "linked")
-    later = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__later")).distinct()
-    kept = docs.join(later, F.col("doc_id").cast("long") == F.col("__later"), "left_anti")
-    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    repeated = repeated.select(F.col("doc_id").alias("__repeated"))
-    if repeated.isEmpty():
-        return kept
-    same = F.col("doc_id").cast("long") == F.col("__repeated")
-    once = kept.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, same, "left_anti").unionByName(once)
+    found = written(_linked_rows(docs, width, percent), "linked")
+    own = found.where("doc_id = component_id AND root IS NOT NULL")
+    # Texts of one id that link with each other: one of them stays.
+    several = own.groupBy("doc_id", "root").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least <> most")
+    surplus = own.join(several.select("doc_id", "root", "least"), ["doc_id", "root"]).where("key <> least")
+    later = found.where("doc_id <> component_id").select("doc_id", "key").union(surplus.select("doc_id", "key")).distinct()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(F.col("text").cast("string")).alias("key"),
+    )
+    kept = rows.join(later, ["doc_id", "key"], "left_anti")
+    repeated = found.where("doc_id IS NOT NULL").groupBy("doc_id", "key").count().where("count > 1").select("doc_id", "key")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, ["doc_id", "key"], "left_semi").dropDuplicates(["doc_id", "key"])
+        kept = kept.join(repeated, ["doc_id", "key"], "left_anti").unionByName(once)
+    return kept.select(*[F.col(f"row.`{c}`") for c in docs.columns])

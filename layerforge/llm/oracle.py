@@ -39,6 +39,16 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM b
 """
 
+# The rules of policy full-1, each by its bit.
+ABLATION = f"""
+WITH ledger AS ({QUALITY}), rules(rule, bit) AS (VALUES
+    ('few_words', 1), ('repeated_words', 2), ('symbols', 4), ('repeated_lines', 8), ('capitals', 16), ('word_length', 32))
+SELECT rule, coalesce(sum((failed_bits & bit <> 0)::BIGINT), 0)::BIGINT AS n_failed,
+       coalesce(sum((failed_bits = bit)::BIGINT), 0)::BIGINT AS n_only
+FROM rules, ledger GROUP BY rule
+"""
+
+
 CHAT = r"""
 WITH c AS (
     SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -49,7 +59,7 @@ WITH c AS (
            length(text) + (length(text) - length(replace(text, '\', '')))
                + (length(text) - length(replace(text, '<|', ''))) // 2
                + (length(text) - length(replace(text, '|>', ''))) // 2
-               + length(role) + 5 + 8 AS chars,
+               + length(role) + (role = 'end' OR role LIKE '%<')::BIGINT + 5 + 8 AS chars,
            row_number() OVER w AS place
     FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
 ), t AS (

@@ -141,7 +141,9 @@ def _account(value: Column, key: Column, inverse: bool) -> Column:
         lambda b: F.concat(country, F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b),
     )
     valid = mod97(F.concat(F.substr(compact, F.lit(5)), F.substr(compact, F.lit(1), F.lit(4)))) == 1
-    return F.when(valid, _put_back(value, whole, "[0-9A-Z]"))
+    # Check digits are 02 to 98; 00, 01 and 99 may have the right remainder, too, but would not come back.
+    digits = F.substr(compact, F.lit(3), F.lit(2)).cast("bigint")
+    return F.when(valid & digits.between(2, 98), _put_back(value, whole, "[0-9A-Z]"))
 
 
 def _address(value: Column, key: Column, inverse: bool) -> Column:
@@ -152,7 +154,8 @@ def _address(value: Column, key: Column, inverse: bool) -> Column:
         made,
         lambda d: F.concat_ws(".", *[(F.get(d, F.lit(2 * k)) * 16 + F.get(d, F.lit(2 * k + 1))).cast("string") for k in range(4)]),
     )
-    return F.when(F.forall(octets, lambda x: x <= 255), joined)
+    # An octet with a leading zero is no valid one, and its zeros would be lost.
+    return F.when(F.forall(octets, lambda x: x <= 255) & ~value.rlike(r"(?:^|\.)0[0-9]"), joined)
 
 
 def _phone(value: Column, key: Column, inverse: bool) -> Column:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from layerforge.llm import samples
 from layerforge.llm import words as w
+from layerforge.llm.scoring import with_score
 from layerforge.llm.storage import with_package
 
 # At most so many documents of each label are used for fitting.
@@ -231,22 +232,10 @@ def scored(docs: DataFrame, model: Trees, keep: Sequence[str] | None = None) ->
     own = ["held_out", "score", "predicted"]
     rest = [c for c in (docs.columns if keep is None else keep) if c not in own]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in w.slices(batch, "__text"):
-                score = shared.value.score(statistics(part["__text"])).astype(float)
-                columns = part.drop_columns(["__text"])
-                yield pa.RecordBatch.from_arrays([*columns.columns, pa.array(score)], [*columns.schema.names, "score"])
-
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*rest).schema.fields), "score double"])
-    made = (
-        with_package(docs)
-        .select(*rest, F.coalesce(F.col("text").cast("string"), F.lit("")).alias("__text"))
-        .mapInArrow(run, schema)
-    )
+    made = with_score(docs, rest, lambda texts: shared.value.score(statistics(texts)))
     return made.select(
-        *rest,
-        (samples.fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
+        *[F.col(f"row.`{c}`") for c in rest],
+        (samples.fold(F.col("row.doc_id"), FOLDS) == HELD_OUT).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )

@@ -84,6 +84,12 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every rule of the full policy rejects, and what leaving it out would bring back."""
+    rows = quality_rules.ledger(_table(spark, sf_dir, "documents"))
+    return quality_rules.ablation(rows, quality_rules.POLICIES["full-1"])
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts hold control strings of other templates."""
     text = r"\\### Assistant: </turn> ok"
@@ -129,6 +135,7 @@ def queries() -> dict[str, Query]:
         op5_token_packing,
         op6_pii_pseudonyms,
         op7_quality_rules,
+        quality_rule_ablation,
         op8_chat_formatting,
         op9_toxicity,
         op10_quality_classifier,
@@ -145,6 +152,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_license_scan": oracle.licenses(grams, license_scan.THRESHOLD),
         "op3_benchmark_decontamination": oracle.LEAKS,
         "op7_quality_rules": oracle.QUALITY,
+        "quality_rule_ablation": oracle.ABLATION,
         "op8_chat_formatting": oracle.CHAT,
         "op11_source_divergence": oracle.DIVERGENCE,
         "op13_conversation_trie": oracle.TRIE,

@@ -1,39 +1,16 @@
-"""Intermediate tables in the folder that all machines of the cluster share."""
+"""Intermediate tables, and the code that tasks run."""
 
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
-_OWN: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; where it is unset (local tests), a temporary folder of this process."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if named:
-        return named.rstrip("/")
-    if not _OWN:
-        _OWN.append("file://" + tempfile.mkdtemp(prefix="layerforge-"))
-    return _OWN[0]
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back.
-
-    That cuts the lineage: a lost executor costs the tasks it ran, never the
-    steps before, and no step runs twice because two later ones need it.
-    """
-    path = f"{shared_folder(df.sparkSession)}/layerforge-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from layerforge.sources.staging import remove, scratch, shared_folder, written
 
+__all__ = ["remove", "scratch", "shared_folder", "with_package", "written"]
 
 _SHIPPED: set[str] = set()
 

@@ -1,5 +1,6 @@
 """Licence scan, pseudonyms, rule ledger and chat windows: only built-in functions, defined on odd rows."""
 
+import random
 import re
 from collections import Counter
 
@@ -240,3 +241,35 @@ def test_chat_on_odd_rows(spark):
     assert {k: r["n_turns"] for k, r in got.items()} == {1: 3, None: 1, 2: 1}
     assert got[None]["loss_chars"] == 1
     assert chat.windows(turns(spark, [])).count() == 0
+
+
+def test_any_role_comes_back(spark):
+    rng = random.Random(8)
+    roles = ["end", "end|>", "\\end", "<|end|>", "/end", "", None, "system", "a\nb", "<", "|", "assistant", "<\\|"]
+    rows = [(c, t, rng.choice(roles), rng.choice([*roles, "x <|end|>\n y"])) for c in range(40) for t in range(6)]
+    rows += [(100, 0, "end", "first"), (100, 1, "end", ""), (100, 2, "end", "end|>")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    made = chat.windows(df, budget=10_000, history=100)
+    read = made.select("conv_id", F.col("n_context"), chat.turns_of(F.col("formatted")).alias("t")).collect()
+    want = {}
+    for c, _, role, text in sorted(rows, key=lambda r: (r[0], r[1], r[2] or "", r[3] or "")):
+        want.setdefault(c, []).append((role or "", text or ""))
+    assert {r["conv_id"]: [tuple(t) for t in r["t"]][r["n_context"] :] for r in read} == want
+
+
+def test_values_that_are_not_valid_stay_and_valid_ones_come_back(spark):
+    texts = ["10.1.1.1", "010.1.1.1", "10.01.1.1", "10.0.0.0", "0.0.0.0", "GB82 WEST 1234 5698 7654 32"]
+    accounts = []
+    for n in range(3000):
+        body = f"{n:011d}"
+        numeric = lambda check: int(body + "1314" + check) % 97
+        accounts += [f"DE{c}{body}" for c in ("00", "01", "99") if numeric(c) == 1]
+    assert accounts
+    texts += accounts[:20]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    made = pii.pseudonymised(df, "k")
+    back = pii.pseudonymised(made.drop("pii"), "k", inverse=True)
+    got = {r["doc_id"]: r["text"] for r in made.collect()}
+    assert {r["doc_id"]: r["text"] for r in back.collect()} == dict(enumerate(texts))
+    assert got[1] == texts[1] and got[2] == texts[2] and got[0] != texts[0] and len(set(got.values())) == len(texts)
+    assert all(got[k] == texts[k] for k in range(6, len(texts)))

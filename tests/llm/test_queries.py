@@ -29,7 +29,7 @@ def test_matches_sql(name, spark, sf_dir, db):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in llm.queries()) == list(range(1, 14))
+    assert sorted(int(n[2:].split("_")[0]) for n in llm.queries() if n.startswith("op")) == list(range(1, 14))
 
 
 def test_stages_keep_columns_and_only_take_rows_away(spark, sf_dir):
