@@ -4,8 +4,9 @@ The method is prefix filtering under several global orders of the shingles. A
 set of n shingles that reaches the threshold with another shares a shingle with
 it among its first n - ceil(t n) + 1 under *every* total order. Order 1 puts
 rare shingles first; it builds the index and generates candidates. Orders 2 and
-3 are two other orders (rare classes permuted by other keys); a candidate that
-shares no prefix shingle under one of them goes before its intersection is counted.
+3 are two other orders (rare classes permuted by other keys), whose prefixes every set keeps as
+32-bit numbers; a candidate that shares no prefix shingle under one of them goes
+before any text moves. What passes all three is verified by its exact intersection.
 
 Rarity comes from a counter of fixed size over all shingles of all documents.
 It only sets the order, and any order gives the same links.
@@ -41,7 +42,6 @@ _SKETCH_WORDS = 4
 BLOCK_ROWS = 2048
 _U = np.uint64
 _ORDER_KEYS = (0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179, 0x9B05688C2B3E6C1F)
-_ORDERS = range(len(_ORDER_KEYS))
 
 
 def _node(shingles: np.ndarray) -> int:
@@ -166,7 +166,12 @@ def _sketch(shingles: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(width: int, percent: int, ranks):
-    """Per document its node, size, sketch and first shingles under order 1."""
+    """Per document its node, size, sketch, first shingles under order 1, and numbers of those under orders 2 and 3."""
+
+    def folded(shingles: np.ndarray, which: int) -> np.ndarray:
+        # Two shingles may share a number: then a pair passes that need not, never the other way round.
+        own = _order(shingles, ranks.value, which)[: _prefix(percent, len(shingles))]
+        return (w.mixed(own) >> _U(32)).astype(np.uint32).view(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,14 +187,16 @@ def _prefixes(width: int, percent: int, ranks):
                         "n": pa.array([len(sets[k]) for k in keep], pa.int64()),
                         "sketch": pa.array([_sketch(sets[k]) for k in keep], pa.list_(pa.int64())),
                         "first": pa.array(firsts, pa.list_(pa.int64())),
+                        "second": pa.array([folded(sets[k], 1) for k in keep], pa.list_(pa.int32())),
+                        "third": pa.array([folded(sets[k], 2) for k in keep], pa.list_(pa.int32())),
                     }
                 )
 
     return run
 
 
-def _verified(width: int, percent: int, ranks):
-    """The pairs that share a prefix shingle under orders 2 and 3 and whose similarity reaches the threshold."""
+def _verified(width: int, percent: int):
+    """The pairs whose similarity reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,7 +208,7 @@ def _verified(width: int, percent: int, ranks):
                 ends = zip(part["a"].to_pylist(), part["b"].to_pylist(), left, right, strict=True)
                 for k, (a, b, x, y) in enumerate(ends):
                     # A doc_id that repeats may bring another text than the node's.
-                    if _node(x) == a and _node(y) == b and _linked(x, y, percent, ranks.value):
+                    if _node(x) == a and _node(y) == b and _linked(x, y, percent):
                         keep.append(at + k)
             if keep:
                 yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
@@ -209,12 +216,7 @@ def _verified(width: int, percent: int, ranks):
     return run
 
 
-def _linked(x: np.ndarray, y: np.ndarray, percent: int, ranks: np.ndarray) -> bool:
-    for which in _ORDERS[1:]:
-        p = _order(x, ranks, which)[: _prefix(percent, len(x))]
-        q = _order(y, ranks, which)[: _prefix(percent, len(y))]
-        if not len(np.intersect1d(p, q, assume_unique=True)):
-            return False
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     common = len(np.intersect1d(x, y, assume_unique=True))
     return common >= _needed(percent, len(x), len(y))
 
@@ -320,12 +322,12 @@ def _across(percent: int):
     return run
 
 
-def _checked(pairs: DataFrame, texts: DataFrame, width: int, percent: int, ranks) -> DataFrame:
+def _checked(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Linked pairs among candidate `pairs` (a, b); `texts` has one row (node, text) per node."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(
-        _verified(width, percent, ranks), "a long, b long"
+        _verified(width, percent), "a long, b long"
     )
 
 
@@ -363,11 +365,20 @@ def _linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
     nodes = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     prefixes = written(
         docs.mapInArrow(
-            _prefixes(width, percent, ranks), "doc_id long, node long, n long, sketch array<long>, first array<long>"
+            _prefixes(width, percent, ranks), "doc_id long, node long, n long, sketch array<long>, first array<long>, second array<int>, third array<int>"
         ).join(nodes.withColumnRenamed("node", "__node"), "doc_id").where("node = __node").drop("__node"),
         "prefixes",
     )
     info = prefixes.select("node", "n", "sketch")
+    # A node is there once for each row of its document.
+    others = prefixes.groupBy("node").agg(F.first("n").alias("n"), *[F.first(c).alias(c) for c in ("sketch", "second", "third")])
+
+    def met_in_all_orders(pairs: DataFrame) -> DataFrame:
+        """The pairs whose sketches leave the threshold possible and whose prefixes meet under orders 2 and 3."""
+        left = others.select(F.col("node").alias("a"), F.struct("n", "sketch", "second", "third").alias("l"))
+        right = others.select(F.col("node").alias("b"), F.struct("n", "sketch", "second", "third").alias("r"))
+        meet = F.arrays_overlap("l.second", "r.second") & F.arrays_overlap("l.third", "r.third")
+        return pairs.join(left, "a").join(right, "b").where(_apart(percent, "l", "r") & meet).select("a", "b")
 
     # Stars: every bucket of the order-1 index links its rows to the row that is first in it.
     postings = prefixes.select("node", "n", "first").mapInArrow(
@@ -387,11 +398,7 @@ def _linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
         .distinct()
     )
-    left = info.select(F.col("node").alias("a"), F.struct("n", "sketch").alias("l"))
-    right = info.select(F.col("node").alias("b"), F.struct("n", "sketch").alias("r"))
-    stars = written(
-        stars.join(left, "a").join(right, "b").where(_apart(percent, "l", "r")).select("a", "b").distinct(), "stars"
-    )
+    stars = written(met_in_all_orders(stars), "stars")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
@@ -400,7 +407,7 @@ def _linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
         return docs.join(chosen, "doc_id").select("node", "text", "doc_id")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        return written(_checked(pairs, texts_of(pairs), width, percent, ranks).distinct(), name)
+        return written(_checked(pairs, texts_of(pairs), width, percent).distinct(), name)
 
     near = verified(stars, "near")
     roots = components(near)
@@ -434,7 +441,7 @@ def _linked_rows(docs: DataFrame, width: int, percent: int) -> DataFrame:
         .mapInArrow(_across(percent), "a long, b long")
         .distinct()
     )
-    rest = verified(written(crossed.join(near, ["a", "b"], "left_anti"), "rest"), "more")
+    rest = verified(written(met_in_all_orders(crossed.join(stars, ["a", "b"], "left_anti")), "rest"), "more")
     roots = components(near.union(rest))
 
     # The smallest document of each component.
