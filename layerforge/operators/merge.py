@@ -22,6 +22,7 @@ def upsert(
     order_by: Sequence[Column] | None = None,
     ties: Sequence[str] | None = None,
     keys: DataFrame | None = None,
+    clustered: bool = False,
 ) -> DataFrame:
     """SCD1 merge: one row per key, the first of target and updates under `order_by`.
 
@@ -31,10 +32,23 @@ def upsert(
     alone: when the keys are few the optimizer broadcasts them and those rows are not
     shuffled; only the touched rows meet the updates. `keys` gives the keys of
     the updates from a cheaper plan. Updates without a key are left out.
+
+    `clustered` says that the files of `target` hold ranges of the key (see `by_range`): the rows that meet the updates are then
+    looked for between the smallest and the largest touched key, which the scan gets as a filter, so that
+    files and row groups outside are not read a second time.
     """
     touched = (updates if keys is None else keys).select(key).where(F.col(key).isNotNull())
     kept = target.join(touched, key, "left_anti")
     if order_by is None:
         return evolved_union(kept, updates)
-    met = target.join(touched, key, "left_semi")
+    near = target
+    if clustered:
+        ends = touched.agg(F.min(key).alias("least"), F.max(key).alias("most"))
+        near = target.where(F.col(key).between(ends.select("least").scalar(), ends.select("most").scalar()))
+    met = near.join(touched, key, "left_semi")
     return evolved_union(kept, latest_per_key(evolved_union(met, updates), key, order_by, ties=ties))
+
+
+def by_range(df: DataFrame, key: str) -> DataFrame:
+    """Rows in ranges of the key, sorted in each: files and row groups written from it hold few keys each."""
+    return df.repartitionByRange(F.col(key)).sortWithinPartitions(key)

@@ -14,7 +14,7 @@ from layerforge.functions import numeric
 from layerforge.operators import contracts as rules
 from layerforge.operators import quality, registry, trends
 from layerforge.operators.dedup import newest_first
-from layerforge.operators.merge import evolved_union, upsert
+from layerforge.operators.merge import by_range, evolved_union, upsert
 from layerforge.plans import bronze as bronze_plan
 from layerforge.plans import gold, silver
 from layerforge.sources import landing, scans, sinks
@@ -188,13 +188,17 @@ def to_silver(
         latest = silver.users(source, stamp, ties, lake.id_type, carry)
         keyless = silver.users_checked(keyless, stamp, lake.id_type, carry)
 
+    if before is None:
+        latest = by_range(latest, "id")
+
     def carried(table: str) -> DataFrame:
         rows = spark.table(table).where(F.col("snapshot") == before).drop("snapshot")
         return rows.withColumn("processed_at", stamp)
 
     if before is not None:
         ids = typed.select("id")
-        latest = upsert(carried(name), latest, "id", newest_first("ingestion_ts"), ties, keys=ids)
+        # Untouched rows keep the order of their files, so a snapshot stays clustered from day to day.
+        latest = upsert(carried(name), latest, "id", newest_first("ingestion_ts"), ties, keys=ids, clustered=True)
         read = source.select("batch_id").distinct()
         others = quality.without_key(carried(held), "id").join(read, "batch_id", "left_anti")
         keyless = evolved_union(others, keyless)

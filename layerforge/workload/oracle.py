@@ -509,6 +509,41 @@ def oracle_sql() -> dict[str, str]:
                 cnt AS rating_count, coalesce(ingestion_ts, {STAMP}) AS date_ingest FROM p""",
         ),
     }
+    # Two daily runs: first versions, then second ones where there are any.
+    second = _PRODUCTS.replace("FROM p\n", "FROM p WHERE version <= 2\n")
+    found["landed_products"] = _with(
+        _P,
+        """SELECT id, version, title, price, description, category, image, rate AS rating_rate, cnt AS rating_count,
+           TRUE AS whole, TRUE AS named FROM p""",
+    )
+    found["lake_catalog"] = _with(
+        second,
+        """SELECT id, title, category, price AS current_price, rating_rate AS current_rating_rate,
+           rating_count AS current_rating_count,
+           round((20 * (SELECT coalesce(avg(rating_rate), 0.0) FROM products) + rating_rate * 2 * coalesce(rating_count, 0))
+                 / (20 + 2 * coalesce(rating_count, 0)), 6) AS rating_bayes_score,
+           image, DATE '2024-01-02' AS last_dt, CAST(coalesce(rating_count, 0) AS BIGINT) AS first_count,
+           CAST(2 * coalesce(rating_count, 0) AS BIGINT) AS last_count, DATE '2024-01-01' AS first_dt
+           FROM products WHERE category IS NOT NULL""",
+    )
+    days = f"""SELECT '2024-01-01' AS day, * FROM ({_latest("(SELECT * FROM p_issues WHERE id IS NOT NULL AND version = 1)", "id", "version")})
+        UNION ALL SELECT '2024-01-02' AS day, * FROM ({_latest("(SELECT * FROM p_issues WHERE id IS NOT NULL)", "id", "version DESC")})"""
+    versioned = second.replace("ingestion_ts, TIMESTAMP", "ingestion_ts, version, TIMESTAMP", 1)
+    metrics = {
+        "rows": "true",
+        "invalid": "len(issues) > 0",
+        "issue:line_not_json": "false",
+        "issue:field_mistyped": "false",
+        **{f"issue:{t}": f"list_contains(issues, '{t}')" for t in ("id_null", "title_empty", "price_invalid", "category_unmapped")},
+        **{f"null:{c}": f"{c} IS NULL" for c in ("price", "image", "rating_rate")},
+    }
+    counted = " UNION ALL ".join(
+        f"SELECT day, '{name}' AS metric, count(*) FILTER ({test}) AS n FROM days GROUP BY day" for name, test in metrics.items()
+    )
+    found["lake_measures"] = _with(
+        f"{versioned}, days AS ({days})",
+        f"{counted} UNION ALL SELECT '2024-01-01', 'batches', 1 UNION ALL SELECT '2024-01-02', 'batches', 2",
+    )
     # A dimension from elsewhere gives the same rows as keys computed in place.
     for name in ("dim_product", "dim_user", "user_directory", "product_catalog"):
         found[f"{name}_by_join"] = found[name]

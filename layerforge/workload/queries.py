@@ -18,7 +18,7 @@ from layerforge.operators import chunks, contracts, merge, quality, registry, ru
 from layerforge.operators.dedup import latest_per_key, newest_first
 from layerforge.plans import bronze, gold, silver
 from layerforge.sources import landing, scans, schemas
-from layerforge.workload import roles
+from layerforge.workload import lake, roles
 
 Query = Callable[[SparkSession, str], DataFrame]
 CHUNK_ROWS = 50
@@ -496,5 +496,8 @@ def queries() -> dict[str, Query]:
         ndjson_lines,
         json_line_validation,
         flat_relational_products,
+        lake.landed_products,
+        lake.lake_catalog,
+        lake.lake_measures,
     ]
     return {q.__name__: q for q in listed}

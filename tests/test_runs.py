@@ -425,3 +425,28 @@ def test_rows_without_a_key_are_spread(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_a_small_batch_reads_few_row_groups_of_a_clustered_target(spark, tmp_path):
+    rows = spark.range(20_000).select(F.col("id"), F.lit(1).alias("v"), F.lit(1).alias("ts"))
+    path = str(tmp_path / "clustered")
+    merge.by_range(rows.orderBy(F.rand(1)), "id").write.option("parquet.block.size", 8192).option("parquet.page.size", 1024).parquet(path)
+    target = spark.read.parquet(path)
+    updates = spark.createDataFrame([(700, 2, 2), (705, 2, 0), (None, 2, 2)], "id long, v int, ts int")
+    read = {}
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for clustered in (False, True):
+            out = merge.upsert(target, updates, "id", newest_first("ts"), (), clustered=clustered)
+            changed = {r["id"] for r in out.where("v = 2").collect()}
+            assert changed == {700}
+            out = merge.upsert(target, updates, "id", newest_first("ts"), (), clustered=clustered)
+            assert len(out.collect()) == 20_000
+            leaves = out._jdf.queryExecution().executedPlan().collectLeaves()
+            scans = [leaves.apply(k) for k in range(leaves.size())]
+            read[clustered] = sum(s.metrics().apply("numOutputRows").value() for s in scans if s.nodeName().startswith("Scan parquet"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    # Twice the target, and once with a part of one range.
+    assert read[False] == 40_000 and 20_000 < read[True] < 30_000
