@@ -34,8 +34,9 @@ def upsert(
     the updates from a cheaper plan. Updates without a key are left out.
 
     `clustered` says that the files of `target` hold ranges of the key (see `by_range`): the rows that meet the updates are then
-    looked for between the smallest and the largest touched key, which the scan gets as a filter, so that
-    files and row groups outside are not read a second time.
+    looked for between the smallest and the largest touched key, so that
+    files and row groups outside are not read a second time. The two keys come to the driver first, because a scan takes only
+    plain values as bounds.
     """
     touched = (updates if keys is None else keys).select(key).where(F.col(key).isNotNull())
     kept = target.join(touched, key, "left_anti")
@@ -43,8 +44,8 @@ def upsert(
         return evolved_union(kept, updates)
     near = target
     if clustered:
-        ends = touched.agg(F.min(key).alias("least"), F.max(key).alias("most"))
-        near = target.where(F.col(key).between(ends.select("least").scalar(), ends.select("most").scalar()))
+        ends = touched.agg(F.min(key).alias("least"), F.max(key).alias("most")).first()
+        near = target.where(F.col(key).between(F.lit(ends["least"]), F.lit(ends["most"])))
     met = near.join(touched, key, "left_semi")
     return evolved_union(kept, latest_per_key(evolved_union(met, updates), key, order_by, ties=ties))
 
