@@ -63,8 +63,15 @@ def _utc(spark: SparkSession) -> Iterator[None]:
 def _run(spark: SparkSession, sf_dir: str, gold: bool = True) -> runs.Lake:
     """Two days: first versions of products and users, then second versions of products. Without `gold` products up to silver."""
     name = f"lake_{uuid.uuid4().hex[:12]}"
+    # Places outgrow 31-bit keys: some ten thousand of them already share one, which the contract of their dimension refuses.
     lake = runs.Lake(
-        _folder(spark), bronze=f"{name}_bronze", silver=f"{name}_silver", gold=f"{name}_gold", id_type="bigint", taxonomy=roles.TAXONOMY
+        _folder(spark),
+        bronze=f"{name}_bronze",
+        silver=f"{name}_silver",
+        gold=f"{name}_gold",
+        keys="xxhash64",
+        id_type="bigint",
+        taxonomy=roles.TAXONOMY,
     )
     products = _product_items(spark, sf_dir)
     users = roles.users(spark, sf_dir).where("version = 1").select(*[f.name for f in schemas.entity_schema("users").fields])
