@@ -400,15 +400,23 @@ def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def source_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows by the table whose file they were read from, by the name in the scan's own metadata."""
+    """Rows by the table whose file they were read from, by the name in the scan's own metadata, and files without such a name."""
     parts = [
-        roles.table(spark, sf_dir, t).select(F.col("_metadata.file_path").alias("file_origin"))
+        roles.table(spark, sf_dir, t).select(F.col("_metadata.file_path").alias("file_origin"), F.lit(t).alias("read"))
         for t in ("part", "customer", "supplier")
     ]
-    files = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows_by_source(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def rows_by_source(rows: DataFrame) -> DataFrame:
+    """`source, n_rows, n_unnamed` of rows with `file_origin` and the table that was `read`, which stands for a name that is not there."""
+    by_file = rows.groupBy("read", "file_origin").agg(F.count(F.lit(1)).alias("n"))
     # A table is one file, or a folder of that name.
-    source = F.regexp_extract("file_origin", r"([^/]+)\.parquet(?:/[^/]*)?$", 1)
-    return files.groupBy(source.alias("source")).agg(F.count(F.lit(1)).alias("n_rows"))
+    name = F.coalesce(F.regexp_extract("file_origin", r"([^/]+)\.parquet(?:/[^/]*)?$", 1), F.lit(""))
+    named = by_file.select("read", "n", name.alias("name"))
+    return named.groupBy(F.when(F.col("name") == "", F.col("read")).otherwise(F.col("name")).alias("source")).agg(
+        F.sum("n").alias("n_rows"), F.count_if(F.col("name") == "").alias("n_unnamed")
+    )
 
 
 def ndjson_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,3 +31,13 @@ def test_places_that_share_a_narrow_key_stop_neither_the_lake_nor_multiply_users
     assert users == {(customer(208), "Port Nation_9", "00208-1234"), (customer(258), "Port Nation_18", "00258-1234")}
     catalog = {r["id"]: (r["first_count"], r["last_count"]) for r in lake.lake_catalog(spark, folder).collect()}
     assert catalog == {1: (4, 8), 2: (4, 8), 4: (4, 8)}
+
+
+def test_rows_are_counted_by_file_and_files_without_a_name_too(spark, tmp_path):
+    folder = tables(spark, tmp_path / "sf", [(1, 2), (3, 4)], [1, 2, 4])
+    spark.range(5).write.parquet(f"{folder}/supplier.parquet")
+    found = queries.source_lineage(spark, folder)
+    assert sorted(map(tuple, found.select("source", "n_rows", "n_unnamed").collect())) == [("customer", 2, 0), ("part", 3, 0), ("supplier", 5, 0)]
+    rows = [("file:/x/part.parquet", "part"), ("file:/x/part.parquet/p-0", "part"), ("", "part"), (None, "customer"), ("s3://b/customer.parquet", "customer")]
+    found = queries.rows_by_source(spark.createDataFrame([*rows, rows[0]], "file_origin string, read string")).collect()
+    assert {(r["source"], r["n_rows"], r["n_unnamed"]) for r in found} == {("part", 4, 1), ("customer", 2, 1)}
