@@ -13,6 +13,12 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds
 
 
+def known(labels: DataFrame, column: str, train: Column) -> DataFrame:
+    """`doc_id, label`: all rows to train on that have one of the labels 0 and 1, once each."""
+    rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("label"))
+    return rows.where(train & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct()
+
+
 def labelled(docs: DataFrame, labels: DataFrame, column: str, train: Column, per_class: int) -> DataFrame:
     """`doc_id, text, label` (and `lang`, if there) of at most `per_class` documents for each of the labels 0 and 1.
 

@@ -2,16 +2,18 @@
 
 A word's vector is the sum of the vectors of its hash and of the hashes of its
 first bytes. Filters of one, two and three words run over the whole text, each
-keeps its highest value, and a logistic unit weighs these. The model is fitted
-on the driver on a bounded sample of labelled documents (`PER_CLASS`), sent to the
-executors (a few MiB) and applied to every document there.
+keeps its highest value, and a logistic unit weighs these. The model is fitted by the
+tasks on all labelled documents: in every round each shard of them goes on from the same model, and
+the models of the shards are averaged, every embedding by how often a shard used it. The result (a few MiB)
+is sent to the executors and applied to every document there.
 
-Thresholds by language are calibrated on a part of the sample that the model has
-not seen. The language only chooses the threshold; it is no input of the score.
+Thresholds by language are calibrated on a fifth of the labelled documents that the model has
+not seen, by counts of their scores. The language only chooses the threshold; it is no input of the score.
 """
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -20,20 +22,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerforge.llm import samples
+from layerforge.llm import bit_tables, samples
 from layerforge.llm import words as w
 from layerforge.llm.scoring import with_score
-from layerforge.llm.storage import with_package
+from layerforge.llm.storage import with_package, written
 
-# At most so many documents of each label are used for fitting.
-PER_CLASS = 3000
+# Labelled documents that one task fits on between two averages, and averages.
+SHARD_ROWS, ROUNDS = 4096, 3
 CELLS = 1 << 16
 DIMENSIONS, FILTERS, WIDTHS = 8, 8, (1, 2, 3)
 PREFIXES = (4, 6)
-# Documents seen in all passes over the sample, and most passes: a small sample is read more often.
+# Documents seen in all passes, and most passes: few documents are read more often, many once a round.
 VISITS, MOST_EPOCHS = 36_000, 60
+# Scores are counted in so many steps to find thresholds.
+STEPS = 4096
 RATE, BATCH = 0.05, 32
 FOLDS, HELD_OUT = 5, 0
+_BLOCKS = 16
 _U = np.uint64
 
 
@@ -110,14 +115,10 @@ def pooled(model: Model, rows: np.ndarray, before: np.ndarray) -> np.ndarray:
     return out
 
 
-def fitted(rows: list[np.ndarray], labels: np.ndarray, prior: float, seed: int = 7) -> Model:
-    """A model of documents (cells of their words) and labels; `prior` is the true share of label 1.
-
-    Gradients flow through the highest place of each filter only. With one label,
-    or none, the model gives the prior.
-    """
+def initial(seed: int = 7) -> Model:
+    """A model that has seen nothing."""
     rng = np.random.default_rng(seed)
-    model = Model(
+    return Model(
         rng.normal(0, 0.1, (CELLS, DIMENSIONS)).astype(np.float32),
         {k: rng.normal(0, 0.3, (k, DIMENSIONS, FILTERS)).astype(np.float32) for k in WIDTHS},
         {k: np.zeros(FILTERS, np.float32) for k in WIDTHS},
@@ -125,18 +126,47 @@ def fitted(rows: list[np.ndarray], labels: np.ndarray, prior: float, seed: int =
         0.0,
         {},
     )
+
+
+def _odds(prior: float) -> float:
     prior = min(max(prior, 1e-4), 1 - 1e-4)
+    return float(np.log(prior / (1 - prior)))
+
+
+def fitted(rows: list[np.ndarray], labels: np.ndarray, prior: float, seed: int = 7) -> Model:
+    """A model of documents (cells of their words) and labels that are all in one shard; `prior` is the true share of label 1.
+
+    With one label, or none, the model gives the prior.
+    """
+    model = initial(seed)
     if len(set(labels.tolist())) < 2:
-        model.weights[:] = 0
-        model.bias = float(np.log(prior / (1 - prior)))
-        return model
+        return without_evidence(model, prior)
+    epochs = min(MOST_EPOCHS, max(1, VISITS // len(rows)))
+    improve(model, rows, labels, float(labels.mean()), epochs, RATE, np.random.default_rng(seed))
+    model.bias += _odds(prior)
+    return model
+
+
+def without_evidence(model: Model, prior: float) -> Model:
+    model.weights[:] = 0
+    model.bias = _odds(prior)
+    return model
+
+
+def improve(
+    model: Model, rows: list[np.ndarray], labels: np.ndarray, prior: float, epochs: int, rate: float, rng: np.random.Generator
+) -> np.ndarray:
+    """Passes over documents (cells of their words), in place. Returns how often every embedding was used.
+
+    Both labels weigh the same in all, whatever their share `prior`. Gradients flow through the highest place of each filter only.
+    """
+    share = (0.5 / (1 - prior), 0.5 / prior)
+    used = np.zeros(CELLS, np.float32)
     seen_cells = np.full(model.cells.shape, 1e-3, np.float32)
     seen_weights = np.full(len(model.weights), 1e-3, np.float32)
     seen_filters = {k: np.full(model.filters[k].shape, 1e-3, np.float32) for k in WIDTHS}
     seen_shifts = {k: np.full(FILTERS, 1e-3, np.float32) for k in WIDTHS}
-    share = labels.mean()
-    model.bias = float(np.log(share / (1 - share)))
-    for _ in range(min(MOST_EPOCHS, max(1, VISITS // len(rows)))):
+    for _ in range(epochs):
         order = rng.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             chosen = order[at : at + BATCH]
@@ -156,7 +186,7 @@ def fitted(rows: list[np.ndarray], labels: np.ndarray, prior: float, seed: int =
                         best[j * FILTERS : (j + 1) * FILTERS] = values[top, np.arange(FILTERS)]
                 active = best > 0
                 z = float(np.maximum(best, 0) @ model.weights + model.bias)
-                error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[d]
+                error = share[labels[d]] * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[d])
                 g_weights += error * np.maximum(best, 0)
                 g_bias += error
                 back = error * model.weights * active
@@ -174,8 +204,9 @@ def fitted(rows: list[np.ndarray], labels: np.ndarray, prior: float, seed: int =
                         for c in range(own.shape[1]):
                             touched.append(own[word, c])
                             grads.append(delta)
+                            np.add.at(used, own[word, c], inside)
             # Adagrad: rarely touched cells keep a high rate.
-            model.bias -= RATE * g_bias / len(chosen)
+            model.bias -= rate * g_bias / len(chosen)
             for value, seen, grad in (
                 (model.weights, seen_weights, g_weights),
                 *((model.filters[k], seen_filters[k], g_filters[k]) for k in WIDTHS),
@@ -183,67 +214,157 @@ def fitted(rows: list[np.ndarray], labels: np.ndarray, prior: float, seed: int =
             ):
                 grad = grad / len(chosen)
                 seen += grad**2
-                value -= RATE * grad / np.sqrt(seen)
+                value -= rate * grad / np.sqrt(seen)
             if touched:
                 cells, where = np.unique(np.concatenate(touched), return_inverse=True)
                 total = np.zeros((len(cells), DIMENSIONS), np.float32)
                 np.add.at(total, where, np.concatenate(grads) / len(chosen))
                 seen_cells[cells] += total**2
-                model.cells[cells] -= RATE * total / np.sqrt(seen_cells[cells])
-    # The sample is balanced, the corpus is not.
-    model.bias += float(np.log(prior / (1 - prior)) - np.log(share / (1 - share)))
-    return model
-
-
-def _threshold(scores: np.ndarray, labels: np.ndarray, prior: float) -> float:
-    """The threshold with the fewest expected errors at the true share of label 1."""
-    ones, zeros = scores[labels == 1], scores[labels == 0]
-    cuts = np.unique(np.concatenate([scores, [0.5]]))
-    missed = np.searchsorted(np.sort(ones), cuts, side="left") / max(len(ones), 1)
-    wrong = 1 - np.searchsorted(np.sort(zeros), cuts, side="left") / max(len(zeros), 1)
+                model.cells[cells] -= rate * total / np.sqrt(seen_cells[cells])
+    return used
+
+
+def _fixed(model: Model) -> np.ndarray:
+    """All numbers of the model but the embeddings."""
+    parts = [model.weights, *(model.filters[k].ravel() for k in WIDTHS), *(model.shifts[k] for k in WIDTHS)]
+    return np.concatenate([*parts, [model.bias]]).astype(np.float64)
+
+
+def _with_fixed(model: Model, numbers: np.ndarray) -> None:
+    at = 0
+    for own in (model.weights, *(model.filters[k] for k in WIDTHS), *(model.shifts[k] for k in WIDTHS)):
+        own[...] = numbers[at : at + own.size].reshape(own.shape)
+        at += own.size
+    model.bias = float(numbers[-1])
+
+
+_SHARE = "block int, shard long, total binary, weight binary"
+
+
+def _shard(model, prior: float, epochs: int, turn: int):
+    """What the documents of one shard make of the model, by blocks of embeddings; the last block is the rest of the model."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("key", "ascending")])
+        rows = [np.frombuffer(c, np.uint16).reshape(-1, 1 + len(PREFIXES)) for c in table["cells"].to_pylist()]
+        own = copy.deepcopy(model.value)
+        shard = key[0].as_py()
+        used = improve(own, rows, table["label"].to_numpy().astype(np.int64), prior, epochs, RATE / turn, np.random.default_rng([7, turn, shard]))
+        totals = [*np.split((own.cells * used[:, None]).astype(np.float64), _BLOCKS), _fixed(own) * len(rows)]
+        weights = [*np.split(used.astype(np.float64), _BLOCKS), np.array([float(len(rows))])]
+        zipped = [pa.array([pa.compress(x.tobytes(), "zstd", asbytes=True) for x in part], pa.binary()) for part in (totals, weights)]
+        n = len(totals)
+        return pa.table([pa.array(range(n), pa.int32()), pa.array([shard] * n, pa.int64()), *zipped], ["block", "shard", "total", "weight"])
+
+    return run
+
+
+def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weighted means of the blocks of all shards; rows are sorted by block and shard, a task holds the sums of its blocks."""
+    fixed = len(_fixed(initial()))
+    sums: dict[int, list[np.ndarray]] = {}
+    for batch in batches:
+        for block, *packed in zip(*[batch[c].to_pylist() for c in ("block", "total", "weight")], strict=True):
+            size = (CELLS // _BLOCKS * DIMENSIONS, CELLS // _BLOCKS) if block < _BLOCKS else (fixed, 1)
+            own = [np.frombuffer(pa.decompress(x, n * 8, "zstd", asbytes=True), np.float64) for x, n in zip(packed, size, strict=True)]
+            sums[block] = [a + b for a, b in zip(sums[block], own, strict=True)] if block in sums else own
+    for block, (total, weight) in sums.items():
+        mean = total.reshape(len(weight), -1) / np.maximum(weight, 1e-9)[:, None]
+        mean[weight == 0] = np.nan
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([mean.tobytes()], pa.binary())], ["block", "mean"])
+
+
+def _rounds(rows: DataFrame, model: Model, prior: float, n: int) -> None:
+    """Fit the model to all `rows` (doc_id, label, key, shard, cells), in place. The driver sees averages only, a few MiB a round."""
+    epochs = min(MOST_EPOCHS // ROUNDS, max(1, VISITS // (ROUNDS * n)))
+    for turn in range(1, ROUNDS + 1):
+        shared = rows.sparkSession.sparkContext.broadcast(model)
+        made = rows.groupBy("shard").applyInArrow(_shard(shared, prior, epochs, turn), _SHARE)
+        means = made.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(_averaged, "block int, mean binary")
+        for row in means.collect():
+            mean = np.frombuffer(row["mean"], np.float64)
+            if row["block"] == _BLOCKS:
+                _with_fixed(model, mean)
+            else:
+                at = row["block"] * (CELLS // _BLOCKS)
+                part = model.cells[at : at + CELLS // _BLOCKS]
+                mean = mean.reshape(part.shape)
+                # Embeddings that no document used stay as they are.
+                part[...] = np.where(np.isnan(mean), part, mean)
+        shared.unpersist()
+
+
+def _threshold(ones: np.ndarray, zeros: np.ndarray, prior: float) -> float:
+    """The threshold with the fewest expected errors at the true share of label 1, from counts by step of the score."""
+    cuts = np.arange(STEPS + 1) / STEPS
+    missed = np.concatenate([[0], np.cumsum(ones)]) / max(ones.sum(), 1)
+    wrong = 1 - np.concatenate([[0], np.cumsum(zeros)]) / max(zeros.sum(), 1)
     cost = prior * missed + (1 - prior) * wrong
     best = np.flatnonzero(cost <= cost.min() + 1e-12)
     return float(cuts[best[np.argmin(np.abs(cuts[best] - 0.5))]])
 
 
-def calibrated(model: Model, scores: np.ndarray, labels: np.ndarray, langs: list[str], prior: float, least: int = 20) -> None:
-    """Thresholds for all documents and for every language with enough cases of both labels."""
-    model.thresholds[""] = _threshold(scores, labels, prior) if len(set(labels.tolist())) == 2 else 0.5
-    for lang in sorted(set(langs)):
-        own = np.array([x == lang for x in langs])
-        if min(labels[own].sum(), (1 - labels[own]).sum()) >= least:
-            model.thresholds[lang] = _threshold(scores[own], labels[own], prior)
+def calibrated(model: Model, apart: DataFrame, prior: float, least: int = 20) -> None:
+    """Thresholds for all documents and for every language with enough cases of both labels, from all rows of `apart`."""
+    shared = apart.sparkSession.sparkContext.broadcast(model)
 
-
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
-    """Fit on labelled documents outside the held-out fold; every fifth of them calibrates the thresholds."""
+    def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [np.frombuffer(c, np.uint16).reshape(-1, 1 + len(PREFIXES)) for c in batch["cells"].to_pylist()]
+            if not kept:
+                continue
+            before = np.concatenate([[0], np.cumsum([len(x) for x in kept])])
+            scores = shared.value.score(pooled(shared.value, np.concatenate(kept), before))
+            step = np.minimum(scores * STEPS, STEPS - 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch["lang"], batch["label"], pa.array(step)], ["lang", "label", "step"])
+
+    # A count per language, label and step comes to the driver, however many documents there are.
+    counts = apart.select("lang", "label", "cells").mapInArrow(steps, "lang string, label int, step int").groupBy("lang", "label", "step").count()
+    found: dict[str, np.ndarray] = {}
+    whole = np.zeros((2, STEPS), np.int64)
+    for row in counts.collect():
+        for own in (whole, found.setdefault(row["lang"] or "", np.zeros((2, STEPS), np.int64))):
+            own[row["label"], row["step"]] += row["count"]
+    model.thresholds[""] = _threshold(whole[1], whole[0], prior) if whole.sum(axis=1).all() else 0.5
+    for lang in sorted(found):
+        if lang and found[lang].sum(axis=1).min() >= least:
+            model.thresholds[lang] = _threshold(found[lang][1], found[lang][0], prior)
+
+
+def train(docs: DataFrame, labels: DataFrame) -> Model:
+    """Fit on all labelled documents outside the held-out fold; every fifth of them calibrates the thresholds instead."""
     outside = samples.fold(F.col("doc_id"), FOLDS) != HELD_OUT
-    rows = samples.labelled(with_package(docs), labels, "toxic", outside, per_class)
+    chosen = samples.known(labels, "toxic", outside)
+    table = docs.sparkSession.sparkContext.broadcast(bit_tables.table_of(chosen.select(F.xxhash64("doc_id").alias("key"))))
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in w.slices(batch, "text"):
+            wanted = bit_tables.known(table.value, batch["key"].to_numpy())
+            for part in w.slices(batch.filter(pa.array(wanted)), "text"):
                 found, before = word_cells(part["text"])
                 packed = [found[a:b].tobytes() for a, b in zip(before[:-1], before[1:], strict=True)]
-                yield pa.RecordBatch.from_pydict(
-                    {"doc_id": part["doc_id"], "lang": part["lang"], "label": part["label"], "cells": pa.array(packed, pa.binary())}
-                )
-
-    sample = rows.select("doc_id", "text", "lang", "label").mapInArrow(cells, "doc_id long, lang string, label int, cells binary").collect()
-    sample.sort(key=lambda r: (r["doc_id"], r["label"], bytes(r["cells"])))
-    found = [np.frombuffer(bytes(r["cells"]), np.uint16).reshape(-1, 1 + len(PREFIXES)) for r in sample]
-    truth = np.array([r["label"] for r in sample], np.int64)
+                yield pa.RecordBatch.from_arrays([part["doc_id"], part["lang"], pa.array(packed, pa.binary())], ["doc_id", "lang", "cells"])
+
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    given = with_package(docs).select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), text.alias("text"))
+    numbered = given.withColumn("key", F.xxhash64("doc_id")).mapInArrow(cells, "doc_id long, lang string, cells binary")
+    rows = written(numbered.join(chosen, "doc_id").withColumn("apart", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 4), "labelled")
     prior = samples.share(labels, "toxic", outside)
-    apart = np.arange(len(sample)) % 5 == 4
-    model = fitted([x for x, a in zip(found, apart, strict=True) if not a], truth[~apart], prior)
-    kept = [x for x, a in zip(found, apart, strict=True) if a]
-    if kept:
-        before = np.concatenate([[0], np.cumsum([len(x) for x in kept])])
-        scores = model.score(pooled(model, np.concatenate(kept), before))
-        langs = [r["lang"] or "" for r, a in zip(sample, apart, strict=True) if a]
-        calibrated(model, scores, truth[apart], langs, prior)
+    model = initial()
+    n = {r["label"]: r["n"] for r in rows.where("NOT apart").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(n) < 2:
+        without_evidence(model, prior)
     else:
-        model.thresholds[""] = 0.5
+        every = sum(n.values())
+        shards = -(-every // SHARD_ROWS)
+        # Documents of one id part by their words.
+        key = F.xxhash64("doc_id", "cells")
+        dealt = rows.where("NOT apart").select("doc_id", "label", key.alias("key"), F.pmod(key, F.lit(shards)).alias("shard"), "cells")
+        _rounds(dealt, model, n[1] / every, every)
+        # Both labels weighed the same, in the corpus they do not.
+        model.bias += _odds(prior)
+    calibrated(model, rows.where("apart"), prior)
     return model
 
 

@@ -95,3 +95,21 @@ def test_pooling_takes_the_highest_place_of_every_filter():
     x = toxicity._vectors(model.cells, rows[:4])
     values = np.stack([x[k] @ model.filters[2][0] + x[k + 1] @ model.filters[2][1] for k in range(3)]) + model.shifts[2]
     assert np.allclose(out[0, toxicity.FILTERS : 2 * toxicity.FILTERS], values.max(axis=0), atol=1e-5)
+
+
+def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
+    """A word that only the last of the labelled documents hold, by the hash of their ids."""
+    ids = spark.range(8000).orderBy(F.xxhash64("id")).select("id", (samples.fold(F.col("id"), 5) == 0).alias("held")).collect()
+    outside, held = [r["id"] for r in ids if not r["held"]], [r["id"] for r in ids if r["held"]]
+    rng, words, rows = random.Random(5), prose(1, 300).split(), []
+    for at, k in enumerate(outside):
+        toxic = at % 2
+        mark = ["zzrare" if at >= len(outside) - 400 else "zzgrim"] if toxic else []
+        rows.append((k, " ".join(rng.sample(words, 5) + mark), toxic))
+    rows += [(k, " ".join([*rng.sample(words, 5), "zzrare"]), None) for k in held[:50]]
+    assert len(outside) / 2 > 3000 + 180
+    given = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD_ROWS", 2000)
+    out = toxicity.scored(given.drop("toxic"), toxicity.train(given.select("doc_id", "text"), given.select("doc_id", "toxic")))
+    found = [r["predicted"] for r in out.where("held_out").collect()]
+    assert len(found) == 50 and np.mean(found) > 0.9
