@@ -89,12 +89,15 @@ def line_report(lines: DataFrame, by: str = "file_origin") -> DataFrame:
     )
 
 
-def bad_files(spark: SparkSession, path: str) -> DataFrame:
-    """`file_origin, reason` of files that are empty or hold a line that is not JSON."""
+def bad_files(spark: SparkSession, path: str, counted: Observation | None = None) -> DataFrame:
+    """`file_origin, reason` of files that are empty or hold a line that is not JSON. `counted` gets the number of `lines`."""
     lines = _below(spark, "text", path).select(
         "value", F.col("_metadata.file_path").alias("file_origin")
     )
-    invalid = line_report(lines).where("n_bad > 0").select(
+    report = line_report(lines)
+    if counted is not None:
+        report = report.observe(counted, F.coalesce(F.sum("n_lines"), F.lit(0)).alias("lines"))
+    invalid = report.where("n_bad > 0").select(
         "file_origin", F.lit("invalid JSON").alias("reason")
     )
     empty = file_sizes(spark, path).where("n_bytes = 0").select(
@@ -111,10 +114,12 @@ def validate_landing(spark: SparkSession, path: str, rows: int | None = None) ->
     files = _below(spark, "text", path)
     if len(files._jdf.inputFiles()) == 0:
         raise LandingError(f"no landed file under {path}")
-    first = bad_files(spark, path).orderBy("file_origin").limit(_LISTED + 1).collect()
+    # One scan decides on the files and counts the lines.
+    counted = Observation()
+    first = bad_files(spark, path, counted).orderBy("file_origin").limit(_LISTED + 1).collect()
     if first:
         named = "; ".join(f"{r['file_origin']} ({r['reason']})" for r in first[:_LISTED])
         more = " and more" if len(first) > _LISTED else ""
         raise LandingError(f"bad landed files: {named}{more}")
-    if rows is not None and (found := files.count()) != rows:
+    if rows is not None and (found := counted.get["lines"]) != rows:
         raise LandingError(f"{rows} rows were written under {path}, {found} lines are there")

@@ -30,7 +30,9 @@ def _product_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def landed_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All versions of the products landed as gzipped NDJSON, validated, and read back from the files."""
     folder = _folder(spark)
-    landing.write_raw(_product_items(spark, sf_dir), folder, LINES)
+    # Parts are few bytes and many files: without a shuffle one or two tasks would write them all.
+    items = _product_items(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
+    landing.write_raw(items, folder, LINES)
     schema = schemas.entity_schema("products", "bigint").add("version", "integer")
     rows = scans.read_raw(spark, folder, schema, broken=True)
     return rows.select(

@@ -41,3 +41,14 @@ def test_rows_are_counted_by_file_and_files_without_a_name_too(spark, tmp_path):
     rows = [("file:/x/part.parquet", "part"), ("file:/x/part.parquet/p-0", "part"), ("", "part"), (None, "customer"), ("s3://b/customer.parquet", "customer")]
     found = queries.rows_by_source(spark.createDataFrame([*rows, rows[0]], "file_origin string, read string")).collect()
     assert {(r["source"], r["n_rows"], r["n_unnamed"]) for r in found} == {("part", 4, 1), ("customer", 2, 1)}
+
+
+def test_all_tasks_land_products(spark, tmp_path, monkeypatch):
+    folder = tables(spark, tmp_path / "sf", [], range(1, 61))
+    once = spark.read.parquet(f"{folder}/part.parquet").coalesce(1)
+    once.write.parquet(f"{tmp_path}/one/part.parquet")
+    monkeypatch.setattr(lake, "_folder", lambda _: f"{tmp_path}/landed")
+    rows = lake.landed_products(spark, f"{tmp_path}/one").collect()
+    assert len(rows) == 120 and all(r["whole"] and r["named"] for r in rows)
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "landed").glob("part-*.json.gz")}
+    assert len(tasks) == spark.sparkContext.defaultParallelism
