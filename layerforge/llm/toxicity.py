@@ -14,6 +14,7 @@ not seen, by counts of their scores. The language only chooses the threshold; it
 from __future__ import annotations
 
 import copy
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -77,6 +78,21 @@ def word_cells(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, before
 
 
+def _packed(texts: pa.Array) -> pa.Array:
+    """Texts as they move between tasks: cells take more room than the words they stand for."""
+    return pa.array([zlib.compress(t, 1) for t in texts.cast(pa.binary()).to_pylist()], pa.binary())
+
+
+def _unpacked(column: pa.Array) -> list[np.ndarray]:
+    """Cells of the words of every packed text."""
+    texts = pa.array([zlib.decompress(t) for t in column.to_pylist()], pa.large_binary()).cast(pa.large_string(), safe=False)
+    out = []
+    for part in w.slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+        found, before = word_cells(part["text"])
+        out += [found[a:b] for a, b in zip(before[:-1], before[1:], strict=True)]
+    return out
+
+
 def _vectors(cells: np.ndarray, rows: np.ndarray) -> np.ndarray:
     out = cells[rows[:, 0]]
     for k in range(1, rows.shape[1]):
@@ -246,7 +262,7 @@ def _shard(model, prior: float, epochs: int, turn: int):
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("label", "ascending"), ("key", "ascending")])
-        rows = [np.frombuffer(c, np.uint16).reshape(-1, 1 + len(PREFIXES)) for c in table["cells"].to_pylist()]
+        rows = _unpacked(table["packed"])
         own = copy.deepcopy(model.value)
         shard = key[0].as_py()
         used = improve(own, rows, table["label"].to_numpy().astype(np.int64), prior, epochs, RATE / turn, np.random.default_rng([7, turn, shard]))
@@ -275,7 +291,7 @@ def _averaged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _rounds(rows: DataFrame, model: Model, prior: float, n: int) -> None:
-    """Fit the model to all `rows` (doc_id, label, key, shard, cells), in place. The driver sees averages only, a few MiB a round."""
+    """Fit the model to all `rows` (doc_id, label, key, shard, packed), in place. The driver sees averages only, a few MiB a round."""
     epochs = min(MOST_EPOCHS // ROUNDS, max(1, VISITS // (ROUNDS * n)))
     for turn in range(1, ROUNDS + 1):
         shared = rows.sparkSession.sparkContext.broadcast(model)
@@ -310,7 +326,7 @@ def calibrated(model: Model, apart: DataFrame, prior: float, least: int = 20) ->
 
     def steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept = [np.frombuffer(c, np.uint16).reshape(-1, 1 + len(PREFIXES)) for c in batch["cells"].to_pylist()]
+            kept = _unpacked(batch["packed"])
             if not kept:
                 continue
             before = np.concatenate([[0], np.cumsum([len(x) for x in kept])])
@@ -319,7 +335,7 @@ def calibrated(model: Model, apart: DataFrame, prior: float, least: int = 20) ->
             yield pa.RecordBatch.from_arrays([batch["lang"], batch["label"], pa.array(step)], ["lang", "label", "step"])
 
     # A count per language, label and step comes to the driver, however many documents there are.
-    counts = apart.select("lang", "label", "cells").mapInArrow(steps, "lang string, label int, step int").groupBy("lang", "label", "step").count()
+    counts = apart.select("lang", "label", "packed").mapInArrow(steps, "lang string, label int, step int").groupBy("lang", "label", "step").count()
     found: dict[str, np.ndarray] = {}
     whole = np.zeros((2, STEPS), np.int64)
     for row in counts.collect():
@@ -342,14 +358,21 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
             wanted = bit_tables.known(table.value, batch["key"].to_numpy())
             for part in w.slices(batch.filter(pa.array(wanted)), "text"):
                 found, before = word_cells(part["text"])
-                packed = [found[a:b].tobytes() for a, b in zip(before[:-1], before[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], part["lang"], pa.array(packed, pa.binary())], ["doc_id", "lang", "cells"])
+                own = pa.array([found[a:b].tobytes() for a, b in zip(before[:-1], before[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [part["doc_id"], part["lang"], own, _packed(part["text"])], ["doc_id", "lang", "cells", "packed"]
+                )
 
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     given = with_package(docs).select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"), text.alias("text"))
-    numbered = given.withColumn("key", F.xxhash64("doc_id")).mapInArrow(cells, "doc_id long, lang string, cells binary")
-    rows = written(numbered.join(chosen, "doc_id").withColumn("apart", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 4), "labelled")
+    numbered = given.withColumn("key", F.xxhash64("doc_id")).mapInArrow(
+        cells, "doc_id long, lang string, cells binary, packed binary"
+    )
+    # Documents of one id part by their words.
+    numbered = numbered.select("doc_id", "lang", F.xxhash64("doc_id", "cells").alias("key"), "packed")
+    # Labels grow with the documents: they are never sent to every task.
+    rows = written(numbered.join(chosen.hint("merge"), "doc_id").withColumn("apart", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 4), "labelled")
     prior = samples.share(labels, "toxic", outside)
     model = initial()
     n = {r["label"]: r["n"] for r in rows.where("NOT apart").groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -358,9 +381,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     else:
         every = sum(n.values())
         shards = -(-every // SHARD_ROWS)
-        # Documents of one id part by their words.
-        key = F.xxhash64("doc_id", "cells")
-        dealt = rows.where("NOT apart").select("doc_id", "label", key.alias("key"), F.pmod(key, F.lit(shards)).alias("shard"), "cells")
+        dealt = rows.where("NOT apart").select("doc_id", "label", "key", F.pmod("key", F.lit(shards)).alias("shard"), "packed")
         _rounds(dealt, model, n[1] / every, every)
         # Both labels weighed the same, in the corpus they do not.
         model.bias += _odds(prior)

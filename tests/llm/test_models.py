@@ -113,3 +113,20 @@ def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
     out = toxicity.scored(given.drop("toxic"), toxicity.train(given.select("doc_id", "text"), given.select("doc_id", "toxic")))
     found = [r["predicted"] for r in out.where("held_out").collect()]
     assert len(found) == 50 and np.mean(found) > 0.9
+
+
+def test_labelled_texts_are_kept_packed(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, prose(k, 400), "en") for k in range(40)], "doc_id long, text string, lang string")
+    kept, write = [], toxicity.written
+    monkeypatch.setattr(toxicity, "written", lambda df, name: kept.append(write(df, name)) or kept[-1])
+    toxicity.train(docs, docs.select("doc_id", (F.col("doc_id") % 2).alias("toxic")))
+    size = sum(F.octet_length(f.name) for f in kept[0].schema if f.dataType.simpleString() == "binary")
+    moved = kept[0].join(docs, "doc_id").agg(F.sum(size), F.sum(F.octet_length("text")), F.count("*")).first()
+    assert moved[2] > 20 and 0 < moved[0] < 0.75 * moved[1]
+
+
+def test_packed_texts_give_the_same_cells():
+    texts = ["one two three", "", " \n", "Été 漢字 " * 300, "x"]
+    found, before = toxicity.word_cells(pa.array(texts))
+    for own, a, b in zip(toxicity._unpacked(toxicity._packed(pa.array(texts))), before[:-1], before[1:], strict=True):
+        assert np.array_equal(own, found[a:b])
